@@ -16,13 +16,33 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_SPACE = f"[{WHITESPACE}]"
+
+
+def _maybe_space(character: Column) -> Column:
+    code = F.ascii(character)
+    return (code <= 32) | (code >= 0x85)
+
+
 def strip(c: Column | str) -> Column:
-    return F.btrim(col(c).cast("string"), F.lit(WHITESPACE))
+    """Python's str.strip(); the slow character-set trim runs only on text that may need it."""
+    text = F.trim(col(c).cast("string"))
+    ragged = _maybe_space(text) | _maybe_space(F.right(text, F.lit(1)))
+    return F.when(ragged, F.btrim(text, F.lit(WHITESPACE))).otherwise(text)
+
+
+def is_blank(c: Column | str) -> Column:
+    """Null, empty or the text ``nan``, whatever blanks surround it."""
+    return F.coalesce(F.lower(strip(c)).isin("", "nan"), F.lit(True))
+
+
+def starts_with_c(c: Column | str) -> Column:
+    return col(c).cast("string").rlike(f"^{_SPACE}*[cC]")
 
 
 def to_number(c: Column | str) -> Column:
     """Double or null. Java's ``1d``/``1f``/hex-float spellings are not numbers here."""
-    text = strip(c)
+    text = col(c).cast("string")  # the cast to double trims by itself
     return F.when(~text.rlike("[dDfFpP]"), text.try_cast("double"))
 
 
@@ -32,14 +52,16 @@ def to_whole(c: Column | str) -> Column:
 
 
 def to_moment(c: Column | str) -> Column:
-    return strip(c).try_cast("timestamp_ntz")
+    return col(c).try_cast("timestamp_ntz")
 
 
 def title_case(c: Column | str) -> Column:
     """Capitalise after every character that has no case, as Python's str.title() does.
 
-    ``initcap`` only restarts after a blank, so a marker and a blank are put after each other
-    uncased character first and taken out again afterwards.
+    ``initcap`` only restarts after a blank, so where that differs a marker and a blank are put after
+    each other uncased character first and taken out again afterwards.
     """
-    marked = F.regexp_replace(col(c), r"([^\p{Lu}\p{Ll}\p{Lt} ])(?=\p{L})", "$1\u0001 ")
-    return F.replace(F.initcap(marked), F.lit("\u0001 "), F.lit(""))
+    text = col(c)
+    marked = F.regexp_replace(text, r"([^\p{Lu}\p{Ll}\p{Lt} ])(?=\p{L})", "$1\u0001 ")
+    exact = F.replace(F.initcap(marked), F.lit("\u0001 "), F.lit(""))
+    return F.when(text.rlike("[^A-Za-z ]"), exact).otherwise(F.initcap(text))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.coerce import col, strip, to_moment, to_number
+from tallybook.functions.coerce import col, is_blank, starts_with_c, to_moment, to_number
 from tallybook.functions.money import ratio
 from tallybook.schemas import MAX_PRICE, MAX_QUANTITY, RAW_COLUMNS, REJECT_COLUMNS
 
@@ -21,30 +21,22 @@ REASONS = [
 ]
 
 
-def is_blank(c: Column | str) -> Column:
-    text = strip(c)
-    return text.isNull() | (text == "") | (F.lower(text) == "nan")
-
-
-def is_cancellation(invoice: Column | str) -> Column:
-    return F.upper(strip(invoice)).startswith("C")
-
-
 def rejection_reason() -> Column:
     """Reason of the first rule a line breaks, null for a clean line."""
     price, quantity = to_number("UnitPrice"), to_number("Quantity")
-    bad_price = price.isNull() | (price <= 0) | (price > MAX_PRICE)
-    bad_quantity = (
-        quantity.isNull()
-        | (quantity == 0)
-        | (~is_cancellation("InvoiceNo") & (quantity < 0))
-        | (F.abs(quantity) > MAX_QUANTITY)
-    )
-    rules = [is_blank("InvoiceNo"), is_blank("StockCode"), bad_price, bad_quantity, to_moment("InvoiceDate").isNull()]
-    chain = F.when(rules[0], REASONS[0])
-    for rule, reason in zip(rules[1:], REASONS[1:]):
-        chain = chain.when(rule, reason)
-    return chain
+    # Only a cancellation may carry a negative quantity.
+    size = F.when(starts_with_c("InvoiceNo"), F.abs(quantity)).otherwise(quantity)
+    good = [
+        ~is_blank("InvoiceNo"),
+        ~is_blank("StockCode"),
+        (price > 0) & (price <= MAX_PRICE),
+        (size > 0) & (size <= MAX_QUANTITY),
+        to_moment("InvoiceDate").isNotNull(),
+    ]
+    chain = F
+    for passed, reason in zip(good, REASONS):
+        chain = chain.when(~F.coalesce(passed, F.lit(False)), reason)
+    return chain.otherwise(None)
 
 
 def gate(raw: DataFrame) -> DataFrame:

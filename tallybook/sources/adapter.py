@@ -28,12 +28,21 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core when a small source comes in fewer splits than there are cores.
+
+    A large source has more splits than cores and passes through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def retail_raw(spark: SparkSession, folder: str) -> DataFrame:
     """Raw text lines, dirt and copies included."""
     c = F.col
-    lines = _read(spark, folder, "lineitem").select(
+    lines = spread(_read(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
-        ((c("l_returnflag") == "R") & (c("l_linestatus") == "F")).alias("is_return"))
+        ((c("l_returnflag") == "R") & (c("l_linestatus") == "F")).alias("is_return")))
     orders = _read(spark, folder, "orders").select(
         c("o_orderkey").alias("l_orderkey"), c("o_custkey").alias("c_custkey"), "o_orderdate")
     customers = _read(spark, folder, "customer").select("c_custkey", "c_nationkey")
