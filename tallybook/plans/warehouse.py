@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +36,23 @@ class Warehouse:
         self.stage = stage or Stage(spark)
         self._raw, self._raw_is_stored, self._first_by = raw, raw_is_stored, first_by
 
+    @classmethod
+    def from_lines(
+        cls, spark: SparkSession, lines: DataFrame, master: DataFrame | None, stage: Stage | None = None
+    ) -> Warehouse:
+        """A warehouse over lines that are cleaned already."""
+        wh = cls(spark, lines, master, stage=stage, raw_is_stored=True)
+        wh._laid_lines = lay_out(lines, SALES_ORDER, wh.stage, "lines")
+        return wh
+
+    def build(self) -> None:
+        """Build every table, independent ones at the same time."""
+        self._laid_lines
+        with ThreadPoolExecutor(4) as pool:
+            list(pool.map(self.table, ["dim_customer", "dim_product", "dim_geography", "dim_date"]))
+            list(pool.map(self.table, ["fact_sales", "fact_customer_retention"]))
+            list(pool.map(self.table, ["mart_sales_performance", "mart_customer_rfm"]))
+
     @cached_property
     def raw(self) -> DataFrame:
         """Landed lines: read once for clean lines and once for rejects."""

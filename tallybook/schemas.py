@@ -113,5 +113,5 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[df[n].cast(t).alias(n) for n, t in column_types(table).items()])
 
 
-def emptydict(spark: SparkSession, table: str) -> DataFrame:
+def empty_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in column_types(table).items()))
