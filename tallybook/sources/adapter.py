@@ -112,3 +112,24 @@ def event_sides(spark: SparkSession, folder: str) -> DataFrame:
     early = F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     return _read(spark, folder, "events").select(
         "value", "event_type", F.when(early, "baseline").otherwise("current").alias("side"))
+
+
+def scoring_requests(features: DataFrame) -> DataFrame:
+    """Customer features as scoring input, with gaps and out-of-range values mixed in."""
+    key = F.col("customer_id")
+
+    def dirt(name, *cases):
+        chain = F
+        for modulus, value in cases:
+            chain = chain.when(key % modulus == 0, F.lit(value).cast("double"))
+        return chain.otherwise(F.col(name).cast("double"))
+
+    return features.withColumns(
+        {
+            "recency_days": dirt("recency_days", (31, None), (37, -1.0)),
+            "frequency_orders": dirt("frequency_orders", (41, 0.0)),
+            "cancellation_rate": dirt("cancellation_rate", (43, 1.5), (3, None)),
+            "inter_purchase_mean": dirt("inter_purchase_mean", (5, None)),
+            "inter_purchase_std": dirt("inter_purchase_std", (11, None)),
+            "product_variety": dirt("product_variety", (7, None)),
+        })
