@@ -30,6 +30,11 @@ def _long(df: DataFrame, features: Sequence[str], side: str) -> DataFrame:
     return long.filter("value is not null and not isnan(value)").withColumn("side", F.lit(side))
 
 
+def _settled(df: DataFrame) -> DataFrame:
+    """A result of one row per feature (column of the input), computed once instead of per use."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def _decile_rank(j: int) -> tuple[Column, Column, Column]:
     """0-based ranks around decile ``j`` of ``nb`` values and the weight between them."""
     position = F.lit(j) * (F.col("nb") - 1)
@@ -67,7 +72,7 @@ def drift_statistics(
         F.sum(value * F.col("b")).alias("sum_b"),
         F.sum(value * F.col("c")).alias("sum_c"),
     )
-    # One row per feature, that is per column of the input.
+    sizes = _settled(sizes)
     placed = curves.join(F.broadcast(sizes), "feature").withColumns(
         {"cum_b": F.col("cum_b") - F.col("before_b"), "cum_c": F.col("cum_c") - F.col("before_c")})
 
@@ -95,6 +100,7 @@ def drift_statistics(
     shape = shape.select(
         "feature", "ks", "nb", "nc", "sum_b", "sum_c", last.alias("bins"),
         *[e.alias(f"edge{j}") for j, e in enumerate(outer)])
+    shape = _settled(shape)
 
     binned = curves.join(F.broadcast(shape), "feature")
     # Half-open bins, the last one closed: the number of edges at or below the value, at most `bins`.

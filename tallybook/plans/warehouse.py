@@ -50,8 +50,10 @@ class Warehouse:
         self._laid_lines
         with ThreadPoolExecutor(4) as pool:
             list(pool.map(self.table, ["dim_customer", "dim_product", "dim_geography", "dim_date"]))
-            list(pool.map(self.table, ["fact_sales", "fact_customer_retention"]))
+            retention = pool.submit(self.table, "fact_customer_retention")
+            self.fact_sales
             list(pool.map(self.table, ["mart_sales_performance", "mart_customer_rfm"]))
+            retention.result()
 
     @cached_property
     def raw(self) -> DataFrame:
