@@ -37,7 +37,8 @@ class Workspace(Warehouse):
 
     @cached_property
     def products(self) -> DataFrame:
-        return reports.product_revenue(self.fact_sales, self.dim_product)
+        """Product revenue feeds six views, so it is stored."""
+        return self.stage.table(reports.product_revenue(self.fact_sales, self.dim_product), "products")
 
     @cached_property
     def features(self) -> DataFrame:

@@ -9,10 +9,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.calendar import date_key
 from tallybook.functions.coerce import col, strip, title_case, to_moment, to_number, to_whole
-from tallybook.schemas import GUEST_ID, LINE_KEYS
-
-PAYLOAD = ["Description", "Country", "customer_id"]
-
+from tallybook.schemas import GUEST_ID, LINE_KEYS, SOURCE_COLUMNS
 
 def standardise(clean: DataFrame) -> DataFrame:
     return clean.select(
@@ -24,7 +21,7 @@ def standardise(clean: DataFrame) -> DataFrame:
         to_number("Quantity").try_cast("int").alias("Quantity"),
         to_number("UnitPrice").try_cast("decimal(10,2)").alias("UnitPrice"),
         F.coalesce(to_whole("CustomerID"), F.lit(GUEST_ID)).alias("customer_id"),
-        *[c for c in clean.columns if c.startswith("_source")],
+        *[c for c in SOURCE_COLUMNS if c in clean.columns],
     )
 
 
@@ -51,7 +48,8 @@ def derive(lines: DataFrame, batch_id: Column | str) -> DataFrame:
         })
 
 
-def clean_and_transform(clean: DataFrame, batch_id: Column | str, first_by: Sequence[str] = ()) -> DataFrame:
+def clean_and_transform(clean: DataFrame, batch_id: Column | str) -> DataFrame:
     """Standardised, deduplicated lines with amount, flags and batch."""
-    lines = drop_copies(standardise(clean), first_by=first_by)
-    return derive(lines.drop(*[c for c in lines.columns if c.startswith("_source")]), batch_id)
+    lines = standardise(clean)
+    lines = drop_copies(lines, first_by=[c for c in SOURCE_COLUMNS if c in lines.columns])
+    return derive(lines.drop(*SOURCE_COLUMNS), batch_id)

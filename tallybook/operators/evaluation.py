@@ -70,12 +70,11 @@ def evaluate(
              .cast(big).alias("won"))
     )
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
-    return counts.select(
+    return counts.withColumn("_won", pairs.scalar()).select(
         ratio(tp + tn, tp + fp + fn + tn, 4).alias("accuracy"),
         ratio(tp, tp + fp, 4).alias("precision"),
         ratio(tp, tp + fn, 4).alias("recall"),
         ratio(tp * 2, tp * 2 + fp + fn, 4).alias("f1_score"),
-        ratio(pairs.scalar(), (tp + fn).cast("decimal(18,0)") * (fp + tn).cast("decimal(18,0)") * 2, 4)
-        .alias("roc_auc"),
+        ratio("_won", (tp + fn).cast("decimal(18,0)") * (fp + tn).cast("decimal(18,0)") * 2, 4).alias("roc_auc"),
         "log_loss",
     )

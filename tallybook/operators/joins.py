@@ -53,15 +53,21 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, how: str, hot: dict
 
 
 def lookup_join(
-    left: DataFrame, right: DataFrame, key: str, how: str = "left", max_rows: int = BROADCAST_ROWS
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str = "left",
+    max_rows: int = BROADCAST_ROWS,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``left`` to a table unique on ``key``.
 
-    Broadcast when the counted size allows it, else a shuffle join with hot keys salted.
+    Broadcast when the counted size allows it, else a shuffle join with hot keys salted. ``probe`` is
+    a stored table whose ``key`` is spread like that of ``left``, to look for hot keys cheaply.
     """
     if fits_broadcast(right, max_rows):
         return left.join(F.broadcast(right), key, how)
-    hot = hot_keys(left, key)
+    hot = hot_keys(left if probe is None else probe, key)
     if not hot:
         return left.join(right, key, how)
     return salted_join(left, right, key, how, hot)

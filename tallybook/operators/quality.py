@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.coerce import col, is_blank, starts_with_c, to_moment, to_number
 from tallybook.functions.money import ratio
-from tallybook.schemas import MAX_PRICE, MAX_QUANTITY, RAW_COLUMNS, REJECT_COLUMNS
+from tallybook.schemas import MAX_PRICE, MAX_QUANTITY, RAW_COLUMNS, REJECT_COLUMNS, SOURCE_COLUMNS
 
 REASON = "rejection_reason"
 
@@ -44,7 +44,8 @@ def gate(raw: DataFrame) -> DataFrame:
 
 
 def clean_lines(raw: DataFrame) -> DataFrame:
-    return gate(raw).filter(col(REASON).isNull()).select(*RAW_COLUMNS)
+    kept = [c for c in raw.columns if c in RAW_COLUMNS or c in SOURCE_COLUMNS]
+    return gate(raw).filter(col(REASON).isNull()).select(*kept)
 
 
 def rejected_lines(raw: DataFrame, batch_id: Column | str, logged_at: Column) -> DataFrame:
@@ -82,7 +83,8 @@ def rejection_audit(rejected: DataFrame) -> DataFrame:
     """Count and share of each reason over all quarantined lines."""
     counts = rejected.groupBy(REASON).agg(F.count("*").alias("count"))
     total = counts.agg(F.sum("count")).scalar()
-    return counts.select(REASON, "count", ratio(col("count") * 100, total, 2).alias("pct"))
+    return counts.withColumn("_total", total).select(
+        REASON, "count", ratio(col("count") * 100, "_total", 2).alias("pct"))
 
 
 def rejections_per_batch(rejected: DataFrame) -> DataFrame:

@@ -94,8 +94,9 @@ def top15_products(products: DataFrame, category: str = ALL_CATEGORIES) -> DataF
 
 def category_share(products: DataFrame) -> DataFrame:
     grouped = products.groupBy("category").agg(F.sum("total_revenue").alias("total_revenue"))
-    total = products.agg(F.sum("total_revenue")).scalar()
-    return grouped.select("category", "total_revenue", share_pct("total_revenue", total).alias("share_pct"))
+    total = grouped.agg(F.sum("total_revenue")).scalar()
+    return grouped.withColumn("_total", total).select(
+        "category", "total_revenue", share_pct("total_revenue", "_total").alias("share_pct"))
 
 
 def pareto_products(products: DataFrame, stage: Stage | None = None) -> DataFrame:
@@ -167,10 +168,10 @@ def repeat_latency_histogram(retention: DataFrame, bins: int = 40) -> DataFrame:
     """Days since the previous order in ``bins`` equal bins from the least to the most."""
     days = retention.filter("is_repeat_customer").groupBy("days_since_prior_order").agg(F.count("*").alias("n"))
     bounds = days.agg(F.min("days_since_prior_order").alias("low"), F.max("days_since_prior_order").alias("high"))
-    low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
-    span = F.greatest(high - low, F.lit(1))
-    slot = F.call_function("div", (F.col("days_since_prior_order") - low) * bins, span)
-    binned = days.withColumn("bin", F.least(slot, F.lit(bins - 1)).cast("int"))
+    placed = days.withColumns({"low": bounds.select("low").scalar(), "high": bounds.select("high").scalar()})
+    span = F.greatest(F.col("high") - F.col("low"), F.lit(1))
+    slot = F.call_function("div", (F.col("days_since_prior_order") - F.col("low")) * bins, span)
+    binned = placed.withColumn("bin", F.least(slot, F.lit(bins - 1)).cast("int"))
     return binned.groupBy("bin").agg(
         F.min("days_since_prior_order").alias("least_days"),
         F.max("days_since_prior_order").alias("most_days"),

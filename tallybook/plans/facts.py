@@ -41,7 +41,7 @@ def build_fact_sales(
     ]
     joined = transactions
     for lookup, key in lookups:
-        joined = lookup_join(joined, lookup, key, "left")
+        joined = lookup_join(joined, lookup, key, "left", probe=transactions)
     fact = joined.select(
         "sales_key",
         F.col("InvoiceNo").alias("invoice_no"),
@@ -63,16 +63,17 @@ def build_fact_customer_retention(
     transactions: DataFrame, dim_customer: DataFrame, stage: Stage | None = None
 ) -> DataFrame:
     """One row per (customer, invoice, day) with its place in the customer's history."""
+    purchases = registered_purchases(transactions)
     orders = (
-        registered_purchases(transactions)
-        .groupBy("customer_id", "InvoiceNo", "date_key")
+        purchases.groupBy("customer_id", "InvoiceNo", "date_key")
         .agg(F.min("InvoiceDate").alias("order_date"), F.sum("total_amount").alias("order_value"))
     )
     placed = sequence_within(
         orders, "customer_id", ["order_date", "InvoiceNo", "date_key"], "order_sequence",
         previous={"prior_date": "order_date"}, first={"first_date": "order_date"},
         rank="retention_key", stage=stage)
-    keyed = lookup_join(placed, dim_customer.select("customer_id", "customer_key"), "customer_id", "left")
+    customers = dim_customer.select("customer_id", "customer_key")
+    keyed = lookup_join(placed, customers, "customer_id", "left", probe=purchases)
     retention = keyed.select(
         "retention_key",
         F.coalesce("customer_key", F.lit(1)).alias("customer_key"),

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.calendar import elapsed_days
 from tallybook.functions.money import mean_amount, ratio
-from tallybook.operators.joins import lookup_join
 from tallybook.operators.ordering import sequence_within
 from tallybook.schemas import GUEST_ID
 from tallybook.staging import Stage, stage_of
@@ -89,7 +88,7 @@ def extract_customer_features(
         .join(variety, "customer_key", "left")
         .join(active.withColumn("_active", F.lit(True)), "customer_key", "left")
     )
-    return lookup_join(joined, people, "customer_key", "inner").select(
+    return joined.join(people, "customer_key").select(
         "customer_id",
         elapsed_days("last_ts", cutoff).alias("recency_days"),
         "frequency_orders",

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from tallybook.functions import business
 from tallybook.functions.calendar import elapsed_days
 from tallybook.functions.money import mean_amount
-from tallybook.operators.joins import lookup_join
 from tallybook.operators.ordering import dense_key, lay_out
-from tallybook.schemas import conform
+from tallybook.schemas import GUEST_ID, conform
 from tallybook.staging import Stage, stage_of
 
 
@@ -76,7 +75,7 @@ def build_mart_customer_rfm(
         F.count("*").alias("frequency"),
         F.sum("spend").cast("decimal(14,2)").alias("monetary_total"),
     )
-    registered = lookup_join(customers, people, "customer_key", "inner").filter(F.col("customer_id") != 0)
+    registered = customers.join(people, "customer_key").filter(F.col("customer_id") != GUEST_ID)  # one row per key
     base = stage.table(registered, "rfm-base")
 
     snapshot = base.agg(F.max("last_ts") + F.expr("interval 1 day")).scalar()

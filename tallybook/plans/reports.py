@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions.money import cents, mean_amount, ratio, share_pct
-from tallybook.operators.joins import lookup_join
 
 
 def _sold(fact_sales: DataFrame) -> DataFrame:
@@ -67,15 +66,15 @@ def rfm_segments(mart_customer_rfm: DataFrame) -> DataFrame:
         F.sum("frequency").alias("_frequency"),
         F.sum("monetary_total").alias("segment_total_spend_gbp"),
     )
-    total = mart_customer_rfm.agg(F.sum("monetary_total")).scalar()
-    return segments.select(
+    total = segments.agg(F.sum("segment_total_spend_gbp")).scalar()
+    return segments.withColumn("_total", total).select(
         "customer_segment",
         "customer_count",
         ratio("_recency", "customer_count", 1).alias("avg_recency_days"),
         ratio("_frequency", "customer_count", 1).alias("avg_frequency_orders"),
         mean_amount("segment_total_spend_gbp", "customer_count").alias("avg_monetary_spend_gbp"),
         "segment_total_spend_gbp",
-        share_pct("segment_total_spend_gbp", total).alias("revenue_share_pct"),
+        share_pct("segment_total_spend_gbp", "_total").alias("revenue_share_pct"),
     ).orderBy(F.desc("segment_total_spend_gbp"), "customer_segment")
 
 
@@ -84,11 +83,12 @@ def geography_performance(fact_sales: DataFrame, dim_geography: DataFrame, n: in
     invoices = _sold(fact_sales).groupBy("geography_key", "invoice_no").agg(F.sum("total_amount").alias("amount"))
     markets = invoices.groupBy("geography_key").agg(
         F.count("*").alias("total_orders"), F.sum("amount").alias("market_revenue_gbp"))
-    total = _sold(fact_sales).agg(F.sum("total_amount")).scalar()
-    named = markets.join(dim_geography, "geography_key")
+    # Every line has a market, so the grand total is the sum of the groups: no second scan of the fact.
+    total = markets.agg(F.sum("market_revenue_gbp")).scalar()
+    named = markets.join(dim_geography, "geography_key").withColumn("_total", total)
     return named.select(
         "region", "market_tier", "country_name", "total_orders", "market_revenue_gbp",
-        share_pct("market_revenue_gbp", total).alias("revenue_contribution_pct"),
+        share_pct("market_revenue_gbp", "_total").alias("revenue_contribution_pct"),
     ).orderBy(F.desc("market_revenue_gbp"), "country_name").limit(n)
 
 
@@ -124,7 +124,7 @@ def sales_mart_view(mart: DataFrame, dim_date: DataFrame, dim_geography: DataFra
 def rfm_profile(mart_customer_rfm: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """RFM rows with demographics."""
     people = dim_customer.select("customer_key", "gender", "age_group", "preferred_device", "country")
-    return lookup_join(mart_customer_rfm, people, "customer_key", "inner")
+    return mart_customer_rfm.join(people, "customer_key")
 
 
 def retention_view(retention: DataFrame, dim_date: DataFrame) -> DataFrame:

@@ -30,11 +30,10 @@ class Warehouse:
         batch_id: Column | str = FULL_BATCH,
         stage: Stage | None = None,
         raw_is_stored: bool = False,
-        first_by: tuple[str, ...] = (),
     ):
         self.spark, self.master, self.batch_id = spark, master, batch_id
         self.stage = stage or Stage(spark)
-        self._raw, self._raw_is_stored, self._first_by = raw, raw_is_stored, first_by
+        self._raw, self._raw_is_stored = raw, raw_is_stored
 
     @classmethod
     def from_lines(
@@ -75,7 +74,7 @@ class Warehouse:
 
     @cached_property
     def _laid_lines(self) -> Ordered:
-        lines = clean_and_transform(self.clean, self.batch_id, self._first_by)
+        lines = clean_and_transform(self.clean, self.batch_id)
         return lay_out(lines, SALES_ORDER, self.stage, "lines")
 
     @cached_property

@@ -20,6 +20,9 @@ FULL_BATCH = "full_historical_baseline"
 LINE_KEYS = ["InvoiceNo", "StockCode", "Quantity", "UnitPrice", "InvoiceDate"]
 SALES_ORDER = ["InvoiceDate", "InvoiceNo", "StockCode", "Quantity", "UnitPrice"]
 
+# Place of a line in its file, when the source can tell; the first of several copies is the one kept.
+SOURCE_COLUMNS = ["_source_file", "_source_row"]
+
 REJECT_COLUMNS = [
     "batch_id", "InvoiceNo", "StockCode", "Description", "Quantity",
     "UnitPrice", "CustomerID", "Country", "rejection_reason", "logged_at",

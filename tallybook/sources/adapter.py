@@ -48,8 +48,9 @@ def retail_raw(spark: SparkSession, folder: str) -> DataFrame:
     customers = _read(spark, folder, "customer").select("c_custkey", "c_nationkey")
     parts = _read(spark, folder, "part").select(c("p_partkey").alias("l_partkey"), "p_name", "p_retailprice")
 
-    base = lookup_join(lookup_join(lines, orders, "l_orderkey", "inner"), customers, "c_custkey", "inner")
-    base = lookup_join(base, parts, "l_partkey", "inner")
+    base = lookup_join(lines, orders, "l_orderkey", "inner")
+    base = lookup_join(base, customers, "c_custkey", "inner", probe=orders)
+    base = lookup_join(base, parts, "l_partkey", "inner", probe=lines)
 
     order, line, part = c("l_orderkey"), c("l_linenumber"), c("l_partkey")
 

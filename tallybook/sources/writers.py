@@ -18,8 +18,11 @@ _LOG_NAMES = {
 
 
 def overwrite_partitions(df: DataFrame, path: str, *keys: str) -> None:
-    """Replace only the partitions present in ``df``, so loading a batch again changes nothing else."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Replace only the partitions present in ``df``, so loading a batch again changes nothing else.
+
+    Rebalancing gives each partition few files, and still several tasks to one holding most rows.
+    """
+    writer = df.hint("rebalance", *[F.col(k) for k in keys]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*keys).parquet(path)
 
 

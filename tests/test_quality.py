@@ -70,5 +70,5 @@ def test_first_copy_in_file_order_stays(spark, tmp_path):
     rows = [line("1", "a", n, "1", "1") for n in ("second name", "first name", "a name")]
     raw(spark, *rows).coalesce(1).write.parquet(f"{tmp_path}/lines.parquet")
     stored = read_batch(spark, f"{tmp_path}/lines.parquet", with_source=True)
-    got = cleaning.clean_and_transform(stored, "b", first_by=("_source_file", "_source_row")).collect()
+    got = cleaning.clean_and_transform(quality.clean_lines(stored), "b").collect()
     assert [r["Description"] for r in got] == ["SECOND NAME"]
