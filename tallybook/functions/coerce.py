@@ -64,4 +64,5 @@ def title_case(c: Column | str) -> Column:
     text = col(c)
     marked = F.regexp_replace(text, r"([^\p{Lu}\p{Ll}\p{Lt} ])(?=\p{L})", "$1\u0001 ")
     exact = F.replace(F.initcap(marked), F.lit("\u0001 "), F.lit(""))
-    return F.when(text.rlike("[^A-Za-z ]"), exact).otherwise(F.initcap(text))
+    done = text.rlike("^[A-Z][a-z]*(?: [A-Z][a-z]*)*$")  # most names are in title case already
+    return F.when(done, text).when(text.rlike("[^A-Za-z ]"), exact).otherwise(F.initcap(text))
