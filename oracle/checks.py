@@ -188,6 +188,7 @@ def sql_by_query() -> dict[str, str]:
       (SELECT COUNT(*) FROM fact_sales) AS cleaned_row_count, (SELECT COUNT(*) FROM rejected) AS rejected_row_count,
       'COMPLETED' AS status, 'Successfully loaded ' || CAST((SELECT COUNT(*) FROM fact_sales) AS STRING) || ' sales and '
       || CAST((SELECT COUNT(*) FROM rfm) AS STRING) || ' customer RFM profiles.' AS notes"""
+    q["d5_audit_trail"] = """SELECT *, 'retail_raw' AS source_file FROM (""" + q["etl_audit_row"] + ")"
     # cleaning
     q["transform_clean"] = """SELECT invoice_no AS InvoiceNo, stock_code AS StockCode, description AS Description,
       country AS Country, ts AS InvoiceDate, q AS Quantity, CAST(up AS DOUBLE) AS UnitPrice, customer_id, date_key,
@@ -217,6 +218,28 @@ def sql_by_query() -> dict[str, str]:
       FROM (SELECT CAST(0 AS BIGINT) AS customer_id, 'United Kingdom' AS country UNION ALL
             SELECT customer_id, country FROM modal WHERE customer_id <> 0) i
       LEFT JOIN retail_master m ON m.customer_id = i.customer_id"""
+    # sinks and loads
+    month = "'batch_' || strftime({0}, '%Y_%m')"
+    q["staged_extract"] = f"SELECT {_RAW}, 'full_historical_baseline' AS batch_id FROM retail_raw"
+    # CSV does not tell empty text from a missing value: both come back as missing.
+    q["landed_csv_clean"] = f"SELECT {_RAW} FROM gated WHERE rejection_reason IS NULL"
+    q["monthly_export"] = f"SELECT * REPLACE (NULLIF(InvoiceNo, '') AS InvoiceNo) FROM (SELECT {_RAW}, batch_id FROM batches)"
+    q["quarantine_by_month"] = f"""SELECT COALESCE({month.format('TRY_CAST(InvoiceDate AS TIMESTAMP)')},
+        'full_historical_baseline') AS batch_id, InvoiceNo, StockCode, Description, Quantity, UnitPrice, CustomerID,
+        Country, rejection_reason FROM gated WHERE rejection_reason IS NOT NULL"""
+    q["loaded_row_counts"] = _COUNTS
+    q["fact_sales_sample"] = f"""SELECT * REPLACE ({_double('unit_price', 'total_amount')}) FROM fact_sales
+      ORDER BY sales_key LIMIT 100"""
+    q["incremental_fact_sales"] = f"""SELECT * REPLACE ({_double('unit_price', 'total_amount')},
+      {month.format('invoice_timestamp')} AS batch_id) FROM fact_sales"""
+    q["incremental_rfm"] = f"SELECT * REPLACE ({_double('monetary_total')}) FROM rfm"
+    q["streamed_lines"] = f"""SELECT invoice_no AS InvoiceNo, stock_code AS StockCode, description AS Description,
+      country AS Country, ts AS InvoiceDate, q AS Quantity, CAST(up AS DOUBLE) AS UnitPrice, customer_id, date_key,
+      CAST(amount AS DOUBLE) AS total_amount, is_cancelled, {month.format('ts')} AS batch_id FROM lines"""
+    q["sql_western_europe"] = """SELECT g.country_name, d.year, COUNT(DISTINCT f.invoice_no) AS orders,
+      CAST(SUM(f.total_amount) AS DOUBLE) AS revenue FROM fact_sales f
+      JOIN dim_geography g ON g.geography_key = f.geography_key JOIN dim_date d ON d.date_key = f.date_key
+      WHERE NOT f.is_cancelled AND g.region = 'Western Europe' GROUP BY 1, 2"""
     # tables
     for t in ("dim_date", "dim_customer", "dim_product", "dim_geography"):
         q[t] = f"SELECT * FROM {t}"
@@ -339,6 +362,12 @@ def sql_by_query() -> dict[str, str]:
       SELECT score, CAST(fp AS DOUBLE) / n, CAST(tp AS DOUBLE) / p FROM points, totals""")
     out["churn_split"] = _append(_QUOTAS, "SELECT customer_id, is_churned, split FROM assigned")
     out["split_sizes"] = _append(_QUOTAS, "SELECT split, is_churned, COUNT(*) AS n FROM assigned GROUP BY 1, 2")
+    stats = ", ".join(f"AVG(CAST({n} AS DOUBLE)) AS m_{n}, STDDEV_POP(CAST({n} AS DOUBLE)) AS s_{n}" for n in _NUMERIC)
+    scaled = ", ".join(
+        f"ROUND((CAST(f.{n} AS DOUBLE) - m_{n}) / CASE WHEN s_{n} = 0 THEN 1 ELSE s_{n} END, 6) AS {n}" for n in _NUMERIC)
+    more = _QUOTAS + f""",
+  learnt AS (SELECT {stats} FROM features f JOIN assigned a ON a.customer_id = f.customer_id WHERE a.split = 'train')"""
+    out["scaled_features"] = _append(more, f"SELECT f.customer_id, {scaled} FROM features f, learnt")
     events = "SELECT 'value' AS feature, value, side FROM event_sides"
     shifted = "SELECT 'value' AS feature, CASE WHEN side = 'c' THEN value * 1.5 ELSE value END AS value, side FROM event_sides"
     out["psi"] = _append(_psi(events), "SELECT feature, ROUND(psi, 4) AS psi_score FROM psis")

@@ -14,10 +14,11 @@ from pyspark.sql import types as T
 from tallybook.functions import business
 from tallybook.functions.coerce import strip, title_case
 from tallybook.operators import cleaning, constraints, drift, evaluation, quality, split
-from tallybook.plans import dashboard, dims, features, models, reports, scoring
-from tallybook.plans.warehouse import Warehouse
-from tallybook.schemas import FULL_BATCH, LINE_KEYS, WAREHOUSE_TABLES
+from tallybook.plans import dashboard, dims, etl, features, models, reports, scoring
+from tallybook.plans.warehouse import Warehouse, run_sql
+from tallybook.schemas import FULL_BATCH, LINE_KEYS, WAREHOUSE_TABLES, column_types
 from tallybook.sources import adapter, batches, readers, writers
+from tallybook.streaming import landing
 
 
 class Workspace(Warehouse):
@@ -58,6 +59,39 @@ class Workspace(Warehouse):
         accepted, _ = scoring.validate_scoring_input(adapter.scoring_requests(self.features))
         return scoring.score_customers(self.training[0], accepted)
 
+    @cached_property
+    def months(self) -> str:
+        """Folder with the raw lines exported month by month."""
+        folder = f"{self.stage.root}/months"
+        batches.export_monthly(self.raw, folder)
+        return folder
+
+    @cached_property
+    def loaded(self) -> str:
+        """Folder of a complete load of the stored raw lines."""
+        root = f"{self.stage.root}/full-load"
+        etl.run_full(self.spark, self.raw, self.master, root)
+        return root
+
+    @cached_property
+    def loaded_by_month(self) -> str:
+        root = f"{self.stage.root}/monthly-load"
+        etl.run_incremental(self.spark, batches.read_monthly(self.spark, self.months), self.master, root)
+        return root
+
+    @cached_property
+    def loaded_by_stream(self) -> str:
+        root = f"{self.stage.root}/stream-load"
+        landing.load_arriving_batches(
+            self.spark, self.months, root, f"{self.stage.root}/stream-checkpoint").awaitTermination()
+        return root
+
+    @cached_property
+    def reloaded_model(self) -> models.ChurnModel:
+        folder = f"{self.stage.root}/model"
+        models.save_model(self.spark, self.training[0], folder)
+        return models.load_model(self.spark, folder)
+
     @cached_property
     def label_scores(self) -> DataFrame:
         return adapter.label_scores(self.spark, self.folder)
@@ -151,6 +185,52 @@ def _drift(baseline: DataFrame, current: DataFrame, w: Workspace, columns=None)
     return drift.drift_statistics(baseline, current, columns, w.stage).filter("nb >= 5 and nc >= 5").drop("ks")
 
 
+def _staged(w: Workspace) -> DataFrame:
+    root = f"{w.stage.root}/extracts"
+    writers.stage_extract(w.raw, root, FULL_BATCH)
+    return w.spark.read.parquet(f"{root}/staging")
+
+
+def _landed_csv(w: Workspace) -> DataFrame:
+    root = f"{w.stage.root}/landed"
+    writers.land(w.raw, root)
+    return quality.clean_lines(readers.read_batch(w.spark, f"{root}/retail_raw.csv"))
+
+
+def _quarantined(w: Workspace) -> DataFrame:
+    root = f"{w.stage.root}/quarantined"
+    for _ in range(2):  # the second write replaces the first
+        writers.quarantine(_rejected_by_month(w), root)
+    return w.spark.read.parquet(f"{root}/quarantine").drop("logged_at")
+
+
+def _sample(w: Workspace) -> DataFrame:
+    schema = ", ".join(f"{n} {t}" for n, t in column_types("fact_sales").items())
+    return w.spark.read.schema(schema).option("header", True).csv(f"{w.loaded}/exports/fact_sales_sample")
+
+
+def _sql(w: Workspace) -> DataFrame:
+    w.register_views()
+    return run_sql(
+        w.spark,
+        "SELECT g.country_name, d.year, COUNT(DISTINCT f.invoice_no) AS orders, SUM(f.total_amount) AS revenue "
+        "FROM fact_sales f JOIN dim_geography g ON f.geography_key = g.geography_key "
+        "JOIN dim_date d ON f.date_key = d.date_key WHERE f.is_cancelled = FALSE AND g.region = :region "
+        "GROUP BY g.country_name, d.year", {"region": "Western Europe"})
+
+
+def _scaled(w: Workspace) -> DataFrame:
+    rows = w.features.join(_split(w).select("customer_id", "split"), "customer_id")
+    preprocessor, _ = models.fit_preprocessor(rows.filter("split = 'train'"))
+    scaled = models.scaled_numbers(preprocessor, w.features)
+    return scaled.select("customer_id", *[F.round(c, 6).alias(c) for c in features.NUMERIC_FEATURES])
+
+
+def _reloaded_scores(w: Workspace) -> DataFrame:
+    accepted, _ = scoring.validate_scoring_input(w.features)
+    return scoring.score_customers(w.reloaded_model, accepted)
+
+
 QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     # sources and batches
     "extract_metadata": lambda w: readers.extract_metadata(w.raw, FULL_BATCH, "retail_raw"),
@@ -180,6 +260,20 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     # customers
     "customer_modal_country": lambda w: dims.modal_country(w.raw),
     "customer_master": lambda w: dims.build_customer_master(w.raw, w.master),
+    # sinks and loads, read back from what was written
+    "staged_extract": _staged,
+    "landed_csv_clean": _landed_csv,
+    "monthly_export": lambda w: batches.read_monthly(w.spark, w.months),
+    "quarantine_by_month": _quarantined,
+    "loaded_row_counts": lambda w: reports.table_row_counts(
+        {n: readers.read_table(w.spark, w.loaded, n) for n in WAREHOUSE_TABLES}),
+    "d5_audit_trail": lambda w: reports.audit_trail(readers.read_table(w.spark, w.loaded, "etl_audit_log")).drop(
+        "audit_id", "extraction_timestamp", "execution_duration_sec"),
+    "fact_sales_sample": _sample,
+    "incremental_fact_sales": lambda w: readers.read_table(w.spark, w.loaded_by_month, "fact_sales"),
+    "incremental_rfm": lambda w: readers.read_table(w.spark, w.loaded_by_month, "mart_customer_rfm"),
+    "streamed_lines": lambda w: w.spark.read.parquet(f"{w.loaded_by_stream}/lines"),
+    "sql_western_europe": _sql,
     # star schema and marts
     **{name: (lambda w, name=name: w.table(name)) for name in WAREHOUSE_TABLES},
     "table_row_counts": lambda w: reports.table_row_counts(_tables(w)),
@@ -230,10 +324,12 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "drift_status": lambda w: dashboard.drift_status(
         drift.feature_drift(*w.feature_sides, features.NUMERIC_FEATURES, w.stage)),
     "scoring_input_validate": lambda w: scoring.check_scoring_input(adapter.scoring_requests(w.features)),
+    "scaled_features": _scaled,
     "model_comparison": lambda w: w.training[1],
     "model_info": lambda w: models.model_info(w.spark, w.training[0]),
     "churn_scores": lambda w: w.churn_scores,
     "churn_score_totals": lambda w: scoring.score_totals(w.churn_scores),
+    "reloaded_model_scores": _reloaded_scores,
 }
 
 

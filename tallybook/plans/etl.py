@@ -44,9 +44,12 @@ def run_full(
     limit: int | None = None,
     stage: Stage | None = None,
 ) -> dict:
-    """Gate, clean, model and load one complete extract; returns counts and pass rate."""
+    """Gate, clean, model and load one complete extract; returns counts and pass rate.
+
+    ``raw`` is stored data; a row limit makes a trial run on a stored copy of that many rows.
+    """
     started = time.time()
-    wh = Warehouse(spark, limit_rows(raw, limit), master, FULL_BATCH, stage)
+    wh = Warehouse(spark, limit_rows(raw, limit), master, FULL_BATCH, stage, raw_is_stored=not limit)
     totals = quality.summary_of(wh.gated, FULL_BATCH).first()
     writers.quarantine(wh.rejected(), root)
     wh.build()

@@ -77,6 +77,12 @@ def fit_preprocessor(train: DataFrame) -> tuple[PipelineModel, list[str]]:
     return model, names
 
 
+def scaled_numbers(preprocessor: PipelineModel, df: DataFrame) -> DataFrame:
+    """The standardised numeric features of ``df`` under their own names."""
+    ready = preprocessor.stages[0].transform(df)
+    return ready.select("customer_id", *[F.col(f"z_{c}").alias(c) for c in NUMERIC_FEATURES])
+
+
 def classifiers(train_rows: int) -> dict:
     common = {"featuresCol": "features", "labelCol": LABEL}
     lr, rf, gb = (PARAMS[n] for n in ("Logistic_Regression", "Random_Forest", "Gradient_Boosting"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.coerce import to_moment
 from tallybook.schemas import RAW_SCHEMA
+from tallybook.sources.writers import write_csv
 
 
 def batch_of(moment: Column | str = "InvoiceDate") -> Column:
@@ -54,7 +55,7 @@ def export_monthly(raw: DataFrame, folder: str) -> DataFrame:
     spark = raw.sparkSession
     lines = monthly(raw).withColumn("InvoiceDate", to_moment("InvoiceDate").cast("string"))
     lines = lines.hint("rebalance", F.col("batch_id"))
-    lines.write.partitionBy("batch_id").mode("overwrite").option("header", True).csv(f"{folder}/batches")
+    write_csv(lines, f"{folder}/batches", "batch_id")
     batch_manifest(raw).write.mode("overwrite").json(f"{folder}/manifest")
     return spark.read.json(f"{folder}/manifest")
 
@@ -63,5 +64,5 @@ def read_monthly(spark: SparkSession, folder: str, batch_ids: list[str] | None =
     """Exported batches; a list of ids prunes to their folders."""
     schema = RAW_SCHEMA.fields
     ddl = ", ".join(f"{f.name} string" for f in schema) + ", batch_id string"
-    df = spark.read.schema(ddl).option("header", True).csv(f"{folder}/batches")
+    df = spark.read.schema(ddl).option("header", True).option("escape", '"').csv(f"{folder}/batches")
     return df if batch_ids is None else df.filter(F.col("batch_id").isin(batch_ids))

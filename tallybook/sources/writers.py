@@ -26,6 +26,13 @@ def overwrite_partitions(df: DataFrame, path: str, *keys: str) -> None:
     writer.partitionBy(*keys).parquet(path)
 
 
+def write_csv(df: DataFrame, path: str, *keys: str) -> None:
+    """CSV with a header. Blanks around values survive; empty text reads back as missing."""
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    (writer.partitionBy(*keys) if keys else writer).csv(path)
+
+
 def stage_extract(raw: DataFrame, root: str, batch_id: str) -> None:
     overwrite_partitions(raw.withColumn("batch_id", F.lit(batch_id)), f"{root}/staging", "batch_id")
 
@@ -41,7 +48,7 @@ def land(raw: DataFrame, root: str, name: str = "retail_raw") -> None:
     """Store the normalised raw set as Parquet and as CSV."""
     lines = landing_text(raw)
     lines.write.mode("overwrite").parquet(f"{root}/{name}.parquet")
-    lines.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{root}/{name}.csv")
+    write_csv(lines, f"{root}/{name}.csv")
 
 
 def log_ingestion(spark: SparkSession, root: str, source: str, rows: int, columns: list[str], at: datetime) -> None:
@@ -97,4 +104,4 @@ def export_samples(tables: dict[str, DataFrame], root: str, rows: int = SAMPLE_R
     for name, df in tables.items():
         sample = df.orderBy(UNIQUE_COLUMNS[name][0]).limit(rows)
         if not sample.isEmpty():
-            sample.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{root}/exports/{name}_sample")
+            write_csv(sample.coalesce(1), f"{root}/exports/{name}_sample")

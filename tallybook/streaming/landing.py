@@ -19,7 +19,7 @@ def load_arriving_batches(
     replace their partitions, so a month arriving in pieces, or a repeated trigger, stays correct.
     """
     reader = spark.readStream.schema(", ".join(f"{c} string" for c in [*RAW_COLUMNS, "batch_id"]))
-    reader = reader.option("header", True)
+    reader = reader.option("header", True).option("escape", '"')
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     arriving = reader.csv(f"{folder}/batches")
