@@ -24,7 +24,12 @@ from tallybook.schemas import FULL_BATCH  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CORES = os.environ.get("BENCH_CPUS", "8")
-SKIP = {"model_comparison", "model_info", "churn_scores", "churn_score_totals"}
+# Model training and repeated loads have their own tests and would dominate the run.
+SKIP = {
+    "model_comparison", "model_info", "churn_scores", "churn_score_totals", "reloaded_model_scores",
+    "incremental_fact_sales", "incremental_rfm", "streamed_lines", "loaded_row_counts", "d5_audit_trail",
+    "fact_sales_sample",
+}
 
 
 def session() -> SparkSession:

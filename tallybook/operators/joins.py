@@ -19,7 +19,7 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> dict:
-    """Keys holding a large share of ``df`` and that share.
+    """Keys (null among them) holding a large share of ``df`` and that share.
 
     Only the placement of rows depends on this, never the result, so a probe of the key column is
     enough; at most ``2 / share`` keys come back.
@@ -27,7 +27,7 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> dict:
     total = df.count()
     if not total:
         return {}
-    probe = df.select(key).filter(F.col(key).isNotNull())
+    probe = df.select(key)
     if total > _PROBE_ROWS:
         probe = probe.sample(_PROBE_ROWS / total, seed=11)
     counts = probe.groupBy(key).count()
@@ -44,9 +44,9 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, how: str, hot: dict
     """
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salts = max(2, math.ceil(partitions * max(hot.values())))
-    is_hot = F.col(key).isin(list(hot))
+    is_hot = F.col(key).isin([k for k in hot if k is not None])
     salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
-    left = left.withColumn("_salt", F.when(is_hot, salt).otherwise(0))
+    left = left.withColumn("_salt", F.when(is_hot | F.col(key).isNull(), salt).otherwise(0))
     every = F.array(*[F.lit(i) for i in range(salts)]) if salts <= 64 else F.sequence(F.lit(0), F.lit(salts - 1))
     right = right.withColumn("_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
     return left.join(right, [key, "_salt"], how).drop("_salt")

@@ -18,14 +18,13 @@ from tallybook.operators.split import stratified_split
 from tallybook.plans.features import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
 from tallybook.staging import Stage, stage_of
 
-# Hyperparameters, weights of the selection score, registered model name.
+# Hyperparameters and weights of the selection score.
 PARAMS = {
     "Logistic_Regression": {"C": 1.0, "penalty": "l2", "max_iter": 1000},
     "Random_Forest": {"n_estimators": 100, "max_depth": 10, "criterion": "gini", "random_state": 42},
     "Gradient_Boosting": {"max_iter": 100, "max_depth": 5, "learning_rate": 0.05, "random_state": 42},
 }
 AUC_WEIGHT, F1_WEIGHT = 0.6, 0.4
-REGISTERED_NAME = "EcommerceChurnPredictor"
 METRICS = ["accuracy", "precision", "recall", "f1_score", "roc_auc", "log_loss"]
 
 
@@ -143,10 +142,10 @@ def train_and_select(features: DataFrame, stage: Stage | None = None) -> tuple[C
 def model_info(spark: SparkSession, model: ChurnModel) -> DataFrame:
     """One row: name, version, metrics and feature names."""
     row = (
-        REGISTERED_NAME, MODEL_VERSION, model.name, *[model.metrics[m] for m in METRICS],
+        MODEL_VERSION, model.name, *[model.metrics[m] for m in METRICS],
         len(model.feature_names), model.feature_names)
     schema = (
-        "registered_name string, version string, winning_model string, "
+        "version string, winning_model string, "
         + ", ".join(f"{m} double" for m in METRICS) + ", feature_count int, feature_names array<string>")
     return spark.createDataFrame([row], schema)
 

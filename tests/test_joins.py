@@ -25,6 +25,15 @@ def test_shuffled_lookup_equals_plain_join(sides, how):
         map(tuple, left.join(right, "k", how).collect()), key=repr)
 
 
+def test_hot_null_keys_are_spread(spark):
+    left = spark.range(0, 3000, 1, 4).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("k"))
+    right = spark.range(0, 40).select(F.col("id").alias("k"), (F.col("id") + 1).alias("w"))
+    assert None in hot_keys(left, "k", 0.1)
+    ours = lookup_join(left, right, "k", "left", max_rows=1)
+    assert sorted(map(tuple, ours.collect()), key=repr) == sorted(
+        map(tuple, left.join(right, "k", "left").collect()), key=repr)
+
+
 def test_null_keys_stay_in_a_left_lookup(spark):
     left = spark.createDataFrame([(1, None), (2, 5)], "id int, k bigint")
     right = spark.range(3, 9).select(F.col("id").alias("k"), F.lit("x").alias("w"))
