@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallybook.operators import quality
 from tallybook.operators.cleaning import clean_and_transform
 from tallybook.plans.warehouse import Warehouse
-from tallybook.schemas import FULL_BATCH, WAREHOUSE_TABLES
+from tallybook.schemas import FULL_BATCH, WAREHOUSE_TABLES, conform
 from tallybook.sources import writers
 from tallybook.sources.readers import limit_rows, read_table
 from tallybook.staging import Stage
@@ -50,11 +50,14 @@ def run_full(
     """
     started = time.time()
     wh = Warehouse(spark, limit_rows(raw, limit), master, FULL_BATCH, stage, raw_is_stored=not limit)
-    totals = quality.summary_of(wh.gated, FULL_BATCH).first()
-    writers.quarantine(wh.rejected(), root)
-    wh.build()
+    wh.raw
+    with ThreadPoolExecutor(2) as pool:  # neither needs the tables
+        summary = pool.submit(lambda: quality.summary_of(wh.gated, FULL_BATCH).first())
+        held = pool.submit(writers.quarantine, wh.rejected(), root)
+        wh.build()
+        totals, _ = summary.result(), held.result()
     quarantined = spark.read.parquet(f"{root}/quarantine").filter(F.col("batch_id") == FULL_BATCH)
-    writers.append_log(_numbered_log(quarantined), root, "etl_rejection_log")
+    writers.append_log(_numbered_log(quarantined, int(started)), root, "etl_rejection_log")
     counts = _load(wh, root, FULL_BATCH, source, started, totals["total_records"], totals["rejected_records"])
     return {
         "status": "SUCCESS",
@@ -67,10 +70,11 @@ def run_full(
     }
 
 
-def _numbered_log(quarantined: DataFrame) -> DataFrame:
-    """Sample of the rejects for the log, identified by content and time."""
-    log = writers.rejection_log(quarantined)
-    return log.withColumn("rejection_id", F.abs(F.xxhash64(*log.columns)))
+def _numbered_log(quarantined: DataFrame, run: int) -> DataFrame:
+    """Sample of the rejects for the log, numbered after the second the run started in."""
+    log = writers.rejection_log(quarantined)  # few rows in one partition, so the numbers follow one another
+    return conform(
+        log.withColumn("rejection_id", F.lit(run * 1000) + F.monotonically_increasing_id()), "etl_rejection_log")
 
 
 def load_batches(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,12 +83,16 @@ def build_mart_customer_rfm(
     snapshot = base.agg(F.max("last_ts") + F.expr("interval 1 day")).scalar()
     base = base.withColumn("recency_days", elapsed_days("last_ts", snapshot))
     days = base.groupBy("recency_days").agg(F.count("*").alias("n"))
-    edges = days.agg(
-        F.percentile("recency_days", F.array(*[F.lit(p) for p in (0.2, 0.4, 0.6, 0.8)]), F.col("n"))).first()[0]
+    quintiles = F.percentile("recency_days", F.array(*[F.lit(p) for p in (0.2, 0.4, 0.6, 0.8)]), F.col("n"))
+
+    def by(column: str):
+        return lay_out(base.select(column, "customer_key"), [column, "customer_key"], stage, f"rfm-{column}")
 
-    by_frequency = lay_out(base.select("frequency", "customer_key"), ["frequency", "customer_key"], stage, "rfm-f")
-    by_spend = lay_out(
-        base.select("monetary_total", "customer_key"), ["monetary_total", "customer_key"], stage, "rfm-m")
+    with ThreadPoolExecutor(3) as pool:  # three independent jobs
+        recency, frequency, spend = (
+            pool.submit(lambda: days.agg(quintiles).first()[0]), pool.submit(by, "frequency"),
+            pool.submit(by, "monetary_total"))
+        edges, by_frequency, by_spend = recency.result(), frequency.result(), spend.result()
     recency_score = F.lit(1)
     for score, edge in zip((2, 3, 4, 5), reversed(edges or [])):
         recency_score = F.when(F.col("recency_days") <= edge, score).otherwise(recency_score)

@@ -3,7 +3,9 @@
 import datetime
 
 import pytest
+from tallybook.operators.constraints import constraint_audit
 from tallybook.plans import etl
+from tallybook.plans.dims import modal_country
 from tallybook.plans.warehouse import run_sql
 from tallybook.schemas import RAW_COLUMNS, RAW_SCHEMA, WAREHOUSE_TABLES
 from tallybook.sources import adapter, batches, readers, writers
@@ -46,6 +48,19 @@ def test_full_load(spark, full):
         (6116, 5924, 76, "COMPLETED")]
     assert readers.read_table(spark, root, "etl_rejection_log").count() == 76
     assert spark.read.parquet(f"{root}/quarantine").count() == 76
+    logs = {n: readers.read_table(spark, root, n) for n in ("etl_audit_log", "etl_rejection_log")}
+    assert {r["violations"] for r in constraint_audit(logs).collect()} == {0}
+
+
+def test_trial_run_on_few_rows(spark, raw, tmp_path):
+    result = etl.run_full(spark, raw, None, str(tmp_path), limit=500)
+    assert result["raw_records"] == 500
+    assert result["table_counts"]["fact_sales"] <= result["clean_records"] <= 500
+
+
+def test_modal_country_reads_two_columns(raw):
+    plan = modal_country(raw)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<CustomerID:string,Country:string>" in plan
 
 
 def test_months_equal_the_full_load(spark, raw, master, full, tmp_path):
