@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 # Classification lists of the retail domain (same as in the engine).
 CATEGORIES = [
     ("Seasonal & Festive", "HEART|CHRISTMAS|XMAS|STAR|LIGHT|CANDLE|TREE|FESTIVE|DECORATION"),
@@ -349,8 +351,6 @@ CTES["event_sides"] = """
 
 def with_tables(body: str) -> str:
     """``body`` with the definitions it needs, directly or through one another, in order."""
-    import re
-
     needed: set[str] = set()
     frontier = [body]
     while frontier:
