@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from tallybook.llm.common import slices, words_of
 from tallybook.staging import Stage
 
+#: Text bytes hashed at once; the hash takes a few 64-bit numbers a byte.
+HASH_BYTES = 2 << 20
 #: Words per chunk on average, bytes that decide a chunk's end, words from which a repeated passage counts.
 CHUNK_WORDS = 4
 WINDOW = 24
@@ -74,7 +76,7 @@ def chunk_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """
     def run(batches):
         row = TaskContext.get().partitionId() << 40
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", HASH_BYTES):
             counts, doc, first, size, digests = _cut(batch.column("text"))
             starts = row + np.concatenate([[0], np.cumsum(counts + 1)])
             row = int(starts[-1])
