@@ -29,6 +29,8 @@ from tallybook.llm.common import packed, ranges, slices, strings, sums, unpacked
 
 #: Bound of a tokenizer file, which is broadcast.
 TOKENIZER_BYTES = 64 << 20
+#: Text bytes that share one list of distinct words.
+DICTIONARY_BYTES = 4 << 20
 _BLOCK = ["block", "check"]
 
 
@@ -74,7 +76,7 @@ def _part_of(words: pa.Array, parts: int) -> np.ndarray:
 def _blocks(batches, text: str, parts: int):
     """Per block: its key, documents, words per document, code of every word, words and their parts by code."""
     first = TaskContext.get().partitionId() << 32
-    for n, batch in enumerate(slices(batches, text)):
+    for n, batch in enumerate(slices(batches, text, DICTIONARY_BYTES)):
         bounds, words = words_of(batch.column(text))
         coded = words.dictionary_encode()
         distinct = coded.dictionary

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: A word as every operator counts it: anything between ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Text bytes that a task works on at once; a longer text is a block of its own.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
