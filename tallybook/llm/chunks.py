@@ -35,7 +35,7 @@ def _gear(data: np.ndarray, lead: np.ndarray) -> np.ndarray:
     out = np.zeros(len(data), dtype=np.uint64)
     values = table[data]
     age = np.arange(len(data)) - lead
-    for back in range(WINDOW):  # the byte ``back`` places earlier, shifted as often as bytes came since
+    for back in range(min(WINDOW, len(data))):  # the byte ``back`` places earlier, shifted as often as bytes came since
         moved = values[: len(data) - back] << np.uint64(back)
         out[back:] += np.where(age[back:] >= back, moved, np.uint64(0))
     return out
@@ -95,7 +95,7 @@ def repeated_passages(
     """A row for each document that holds a repeated passage; documents without one are not listed.
 
     ``doc_id``, ``n_words``, ``repeated_words``, ``removed_words``, ``passages`` (first word:word after the last, comma-
-    joined) and ``cuts``, the word ranges to remove: every copy but the first in stored order. A copy may lie in the same text.
+    joined) and ``cuts``, the word ranges to remove: later copies of at least ``min_words`` words, in stored order. A copy may lie in the same text.
     Null, empty and blank texts hold no passage. Repeated rows are copies of each other; repeated and null ids are told
     apart by row. No rows give no rows. Other columns are not carried, so their names cannot clash.
     """
@@ -112,12 +112,18 @@ def repeated_passages(
 
     # Within one document: adjacent chunks join to passages.
     order = W.partitionBy("row").orderBy("lo")
-    joined = copies.withColumn("new", F.coalesce((F.lag("hi").over(order) != F.col("lo")).cast("int"), F.lit(1)))
-    joined = joined.withColumn("passage", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, 0)))
-    cut = F.when(F.col("again"), F.struct(F.col("lo").alias("start"), F.col("hi").alias("end")))
-    passages = joined.groupBy("row", "passage").agg(
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sort_array(F.collect_list(cut)).alias("cuts"),
-        F.sum(F.when(F.col("again"), F.col("hi") - F.col("lo")).otherwise(0)).alias("removed"))
+    # Inside a passage, only long stretches of later copies go: a short chunk of a first copy may occur earlier by chance.
+    apart = F.coalesce(F.lag("hi").over(order) != F.col("lo"), F.lit(True))
+    turned = F.coalesce(F.lag("again").over(order) != F.col("again"), F.lit(True))
+    so_far = order.rowsBetween(W.unboundedPreceding, 0)
+    joined = copies.withColumn("apart", apart.cast("int")).withColumn("turned", (apart | turned).cast("int"))
+    joined = joined.withColumn("passage", F.sum("apart").over(so_far)).withColumn("stretch", F.sum("turned").over(so_far))
+    stretches = joined.groupBy("row", "passage", "stretch", "again").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    goes = F.col("again") & (F.col("hi") - F.col("lo") >= min_words)
+    passages = stretches.groupBy("row", "passage").agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.collect_list(F.when(goes, F.struct(F.col("lo").alias("start"), F.col("hi").alias("end")))).alias("cuts"),
+        F.sum(F.when(goes, F.col("hi") - F.col("lo")).otherwise(0)).alias("removed"))
     passages = passages.filter(F.col("hi") - F.col("lo") >= min_words)
     listed = F.transform(F.sort_array(F.collect_list(F.struct("lo", "hi"))), lambda p: F.concat_ws(":", p["lo"], p["hi"]))
     by_row = passages.groupBy("row").agg(

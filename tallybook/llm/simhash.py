@@ -48,9 +48,9 @@ def _fingerprints(texts: pa.Array) -> np.ndarray:
     left = bounds[1:] - 1
     doc = np.repeat(np.arange(len(counts)), counts)
     whole = np.arange(len(words)) + SHINGLE_WORDS - 1 <= left[doc]
-    parts = [words.slice(k, len(words) - SHINGLE_WORDS + 1) for k in range(SHINGLE_WORDS)]
     shingles = []
     if len(words) >= SHINGLE_WORDS:
+        parts = [words.slice(k, len(words) - SHINGLE_WORDS + 1) for k in range(SHINGLE_WORDS)]
         starts = whole[: len(words) - SHINGLE_WORDS + 1]
         shingles = strings(pc.binary_join_element_wise(*parts, " ").filter(pa.array(starts)))
     hashes = np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in shingles), np.uint64, len(shingles))
@@ -149,4 +149,5 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", stage: St
     groups = rows.join(_named(rows, stage).select("fp", "component"), "fp").groupBy("component").agg(first)
     kept = groups.select("first._file", "first._place")
     whole = docs.select(F.struct(*docs.columns).alias("row"), *at)
-    return whole.join(stage.table(kept, "kept"), ["_file", "_place"], "left_semi").select("row.*")
+    # Always by shuffle: the rows kept grow with the documents, so a broadcast would only ever suit small inputs.
+    return whole.join(stage.table(kept, "kept").hint("merge"), ["_file", "_place"], "left_semi").select("row.*")
