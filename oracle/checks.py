@@ -179,7 +179,7 @@ def sql_by_query() -> dict[str, str]:
     q["rejection_log"] = """SELECT batch_id, InvoiceNo AS invoice_no, StockCode AS stock_code, Quantity AS quantity,
       UnitPrice AS unit_price, CustomerID AS customer_id, rejection_reason FROM rejected
       ORDER BY batch_id, rejection_reason, InvoiceNo NULLS FIRST, StockCode NULLS FIRST, Quantity NULLS FIRST,
-        UnitPrice NULLS FIRST, CustomerID NULLS FIRST LIMIT 500"""
+        UnitPrice NULLS FIRST, CustomerID NULLS FIRST"""
     q["q6_rejection_summary"] = """SELECT COALESCE('batch_' || strftime(TRY_CAST(InvoiceDate AS TIMESTAMP), '%Y_%m'),
         'full_historical_baseline') AS batch_id, rejection_reason, COUNT(*) AS rejected_record_count
       FROM gated WHERE rejection_reason IS NOT NULL GROUP BY 1, 2"""
@@ -331,10 +331,12 @@ def sql_by_query() -> dict[str, str]:
       ORDER BY SUM(total_revenue) DESC, country_name LIMIT 10"""
     q["order_sequence_profile"] = """SELECT order_sequence, COUNT(*) AS order_count,
       CAST(SUM(order_value) AS DOUBLE) AS total_revenue FROM retention GROUP BY 1 ORDER BY 1 LIMIT 10"""
-    q["repeat_latency_hist"] = """SELECT CAST(LEAST((d - lo) * 40 // GREATEST(hi - lo, 1), 39) AS INTEGER) AS bin,
-      MIN(d) AS least_days, MAX(d) AS most_days, COUNT(*) AS orders
-      FROM (SELECT days_since_prior_order AS d, MIN(days_since_prior_order) OVER () AS lo,
-              MAX(days_since_prior_order) OVER () AS hi FROM retention WHERE is_repeat_customer) GROUP BY 1"""
+    q["repeat_latency_hist"] = """SELECT CAST(b.bin AS INTEGER) AS bin, lo + b.bin * span / 40 AS from_days,
+      lo + (b.bin + 1) * span / 40 AS to_days, MIN(d) AS least_days, MAX(d) AS most_days, COUNT(d) AS orders
+      FROM (SELECT MIN(days_since_prior_order) AS lo, GREATEST(MAX(days_since_prior_order) - MIN(days_since_prior_order), 1) AS span
+            FROM retention WHERE is_repeat_customer) r CROSS JOIN range(40) b(bin)
+      LEFT JOIN (SELECT days_since_prior_order AS d FROM retention WHERE is_repeat_customer) x
+        ON LEAST((d - lo) * 40 // span, 39) = b.bin GROUP BY b.bin, lo, span"""
     q["cohort_value"] = f"""SELECT cohort_month, COUNT(*) AS total_orders, CAST(SUM(order_value) AS DOUBLE) AS lifetime_revenue,
       {mean_amount('SUM(order_value)', 'COUNT(*)')} AS avg_basket FROM retention GROUP BY 1"""
     # churn

@@ -51,8 +51,20 @@ def to_whole(c: Column | str) -> Column:
     return to_number(c).try_cast("bigint")
 
 
+#: Accepted besides ISO: US dates with and without a time, and a named month.
+DATE_FORMATS = ["M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy", "d-MMM-yyyy H:mm", "d-MMM-yyyy"]
+#: Moments outside these years are no dates.
+FIRST_YEAR, LAST_YEAR = 1678, 2261
+
+
 def to_moment(c: Column | str) -> Column:
-    return col(c).try_cast("timestamp_ntz")
+    """ISO text, or one of ``DATE_FORMATS``, within the accepted years; anything else is null."""
+    value = col(c)
+    text = value.cast("string")
+    shaped = text.rlike(r"^\s*[0-9]{1,2}[/-][0-9A-Za-z]{1,3}[/-][0-9]{4}")
+    other = F.coalesce(*[F.try_to_timestamp(F.trim(text), F.lit(f)).cast("timestamp_ntz") for f in DATE_FORMATS])
+    moment = F.coalesce(value.try_cast("timestamp_ntz"), F.when(shaped, other))
+    return F.when(F.year(moment).between(FIRST_YEAR, LAST_YEAR), moment)
 
 
 def title_case(c: Column | str) -> Column:

@@ -21,7 +21,7 @@ def standardise(clean: DataFrame) -> DataFrame:
         to_number("Quantity").try_cast("int").alias("Quantity"),
         to_number("UnitPrice").try_cast("decimal(10,2)").alias("UnitPrice"),
         F.coalesce(to_whole("CustomerID"), F.lit(GUEST_ID)).alias("customer_id"),
-        *[c for c in SOURCE_COLUMNS if c in clean.columns],
+        *[c for c in (*SOURCE_COLUMNS, "batch_id") if c in clean.columns],
     )
 
 
@@ -48,8 +48,12 @@ def derive(lines: DataFrame, batch_id: Column | str) -> DataFrame:
         })
 
 
-def clean_and_transform(clean: DataFrame, batch_id: Column | str) -> DataFrame:
-    """Standardised, deduplicated lines with amount, flags and batch."""
+def clean_and_transform(clean: DataFrame, batch_id: Column | str | None = None) -> DataFrame:
+    """Standardised, deduplicated lines with amount, flags and batch.
+
+    Lines delivered in batches keep their ``batch_id``, and copies collapse within a batch only.
+    """
     lines = standardise(clean)
-    lines = drop_copies(lines, first_by=[c for c in SOURCE_COLUMNS if c in lines.columns])
-    return derive(lines.drop(*SOURCE_COLUMNS), batch_id)
+    keys = [*LINE_KEYS, *[c for c in ("batch_id",) if c in lines.columns]]
+    lines = drop_copies(lines, keys, first_by=[c for c in SOURCE_COLUMNS if c in lines.columns])
+    return derive(lines.drop(*SOURCE_COLUMNS), F.col("batch_id") if batch_id is None else batch_id)

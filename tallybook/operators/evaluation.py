@@ -21,15 +21,15 @@ def _curve(df: DataFrame, label: str, score: str, stage: Stage | None) -> DataFr
 
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score", stage: Stage | None = None) -> DataFrame:
-    """(threshold, fpr, tpr), starting at the origin with no threshold."""
+    """(threshold, fpr, tpr), starting at the origin with no threshold; a rate of a class without rows is null."""
     points = _curve(df, label, score, stage)
     totals = df.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
     p, n = totals.select("p").scalar(), totals.select("n").scalar()
     origin = df.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     curve = points.select(
-        F.col("threshold").cast("double").alias("threshold"), (F.col("fp") / n).alias("fpr"),
-        (F.col("tp") / p).alias("tpr"))
+        F.col("threshold").cast("double").alias("threshold"), F.try_divide(F.col("fp"), n).alias("fpr"),
+        F.try_divide(F.col("tp"), p).alias("tpr"))
     return origin.unionByName(curve)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # A lookup side is broadcast only when counted to hold at most this many (narrow) rows.
 BROADCAST_ROWS = 500_000
-# A key is hot when it holds at least this share of the rows, so there are at most 1/share of them.
+# Largest share of the rows that a key may hold without being hot.
 HOT_SHARE = 0.005
 _PROBE_ROWS = 1_000_000
 
@@ -18,12 +18,16 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> dict:
+def hot_keys(df: DataFrame, key: str, share: float | None = None) -> dict:
     """Keys (null among them) holding a large share of ``df`` and that share.
 
+    Large is, unless given, two average partitions, at most ``HOT_SHARE``.
+
     Only the placement of rows depends on this, never the result, so a probe of the key column is
     enough; at most ``2 / share`` keys come back.
     """
+    if share is None:
+        share = min(HOT_SHARE, 2 / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     total = df.count()
     if not total:
         return {}

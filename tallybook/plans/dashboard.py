@@ -165,18 +165,23 @@ def order_sequence_profile(retention: DataFrame, n: int = 10) -> DataFrame:
 
 
 def repeat_latency_histogram(retention: DataFrame, bins: int = 40) -> DataFrame:
-    """Days since the previous order in ``bins`` equal bins from the least to the most."""
+    """Orders by days since the previous order in ``bins`` equal bins from the least to the most, empty ones too."""
     days = retention.filter("is_repeat_customer").groupBy("days_since_prior_order").agg(F.count("*").alias("n"))
     bounds = days.agg(F.min("days_since_prior_order").alias("low"), F.max("days_since_prior_order").alias("high"))
-    placed = days.withColumns({"low": bounds.select("low").scalar(), "high": bounds.select("high").scalar()})
-    span = F.greatest(F.col("high") - F.col("low"), F.lit(1))
-    slot = F.call_function("div", (F.col("days_since_prior_order") - F.col("low")) * bins, span)
-    binned = placed.withColumn("bin", F.least(slot, F.lit(bins - 1)).cast("int"))
-    return binned.groupBy("bin").agg(
-        F.min("days_since_prior_order").alias("least_days"),
-        F.max("days_since_prior_order").alias("most_days"),
-        F.sum("n").alias("orders"),
-    ).orderBy("bin")
+    bounds = bounds.filter("low is not null").select("low", F.greatest(F.col("high") - F.col("low"), F.lit(1)).alias("span"))
+    placed = days.withColumns({"low": bounds.select("low").scalar(), "span": bounds.select("span").scalar()})
+    slot = F.call_function("div", (F.col("days_since_prior_order") - F.col("low")) * bins, F.col("span"))
+    binned = placed.withColumn("bin", F.least(slot, F.lit(bins - 1)).cast("int")).groupBy("bin").agg(
+        F.min("days_since_prior_order").alias("least_days"), F.max("days_since_prior_order").alias("most_days"),
+        F.sum("n").alias("n"))
+    every = bounds.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+
+    def edge(n):
+        return F.col("low") + (F.col("bin") + n) * F.col("span") / bins
+
+    return every.join(binned, "bin", "left").select(
+        "bin", edge(0).alias("from_days"), edge(1).alias("to_days"), "least_days", "most_days",
+        F.coalesce("n", F.lit(0).cast("long")).alias("orders")).orderBy("bin")
 
 
 def cohort_value(retention: DataFrame) -> DataFrame:

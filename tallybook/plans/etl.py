@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 import time
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.operators import quality
-from tallybook.operators.cleaning import clean_and_transform
+from tallybook.operators.cleaning import clean_and_transform, drop_copies
 from tallybook.plans.warehouse import Warehouse
 from tallybook.schemas import FULL_BATCH, WAREHOUSE_TABLES, conform
 from tallybook.sources import writers
@@ -53,11 +54,12 @@ def run_full(
     wh.raw
     with ThreadPoolExecutor(2) as pool:  # neither needs the tables
         summary = pool.submit(lambda: quality.summary_of(wh.gated, FULL_BATCH).first())
-        held = pool.submit(writers.quarantine, wh.rejected(), root)
+        rejected = wh.rejected()
+        held = pool.submit(writers.replace_partitions, rejected, f"{root}/quarantine", "batch_id", [FULL_BATCH])
         wh.build()
         totals, _ = summary.result(), held.result()
-    quarantined = spark.read.parquet(f"{root}/quarantine").filter(F.col("batch_id") == FULL_BATCH)
-    writers.append_log(_numbered_log(quarantined, int(started)), root, "etl_rejection_log")
+    quarantined = spark.read.schema(rejected.schema).parquet(f"{root}/quarantine").filter(F.col("batch_id") == FULL_BATCH)
+    _log_rejects(quarantined, root, [FULL_BATCH])
     counts = _load(wh, root, FULL_BATCH, source, started, totals["total_records"], totals["rejected_records"])
     return {
         "status": "SUCCESS",
@@ -70,27 +72,36 @@ def run_full(
     }
 
 
-def _numbered_log(quarantined: DataFrame, run: int) -> DataFrame:
-    """Sample of the rejects for the log, numbered after the second the run started in."""
-    log = writers.rejection_log(quarantined)  # few rows in one partition, so the numbers follow one another
-    return conform(
-        log.withColumn("rejection_id", F.lit(run * 1000) + F.monotonically_increasing_id()), "etl_rejection_log")
+def _log_rejects(quarantined: DataFrame, root: str, batch_ids: Sequence[str]) -> None:
+    """Every reject in the log, one partition a batch, replaced when the batch comes again.
+
+    Numbers hold a random mark of this load above the row number, so two loads do not share any.
+    """
+    log = writers.rejection_log(quarantined)
+    number = F.lit(secrets.randbits(20) << 43).bitwiseOR(F.monotonically_increasing_id())
+    log = conform(log.withColumn("rejection_id", number), "etl_rejection_log")
+    writers.replace_partitions(log, f"{root.rstrip('/')}/etl_rejection_log", "batch_id", batch_ids)
 
 
 def load_batches(
     spark: SparkSession, batches: DataFrame, root: str, batch_ids: Sequence[str] | None = None
 ) -> None:
-    """Gate and clean monthly batches into ``lines`` and ``quarantine``, both partitioned by batch.
+    """Gate and clean delivered batches into ``lines`` and ``quarantine``, both partitioned by delivered batch.
 
-    Each batch replaces its own partition, so repeating or reordering batches changes nothing.
+    Each delivered batch replaces its own partitions and no others, also when it has no rejects or nothing else, so
+    repeating or reordering batches changes nothing and a late line of an older month takes nothing away.
     """
     wanted = batches if batch_ids is None else batches.filter(F.col("batch_id").isin(list(batch_ids)))
+    delivered = sorted({*(batch_ids or ()), *[r[0] for r in wanted.select("batch_id").distinct().collect()]})
+    if not delivered:
+        return
     now = F.current_timestamp().cast("timestamp_ntz")
-    writers.quarantine(quality.rejected_lines(wanted, F.col("batch_id"), now), root)
+    rejected = quality.rejected_lines(wanted, F.col("batch_id"), now)
+    writers.replace_partitions(rejected, f"{root}/quarantine", "batch_id", delivered)
     clean = quality.gate(wanted).filter(F.col(quality.REASON).isNull())
-    # The date decides the batch, so copies of a line always share one.
-    month = F.concat(F.lit("batch_"), F.date_format("InvoiceDate", "yyyy_MM"))
-    writers.overwrite_partitions(clean_and_transform(clean, month), f"{root}/lines", "batch_id")
+    writers.replace_partitions(clean_and_transform(clean), f"{root}/lines", "batch_id", delivered)
+    held = spark.read.schema(rejected.schema).parquet(f"{root}/quarantine").filter(F.col("batch_id").isin(delivered))
+    _log_rejects(held, root, delivered)
 
 
 def rebuild(
@@ -105,10 +116,11 @@ def rebuild(
     ``raw_rows`` goes to the audit; unknown, it is what is left of the raw lines (copies not counted).
     """
     started = time.time()
-    lines = spark.read.parquet(f"{root}/lines")
+    # A line may come in several batches; the first batch counts.
+    lines = drop_copies(spark.read.parquet(f"{root}/lines"), first_by=["batch_id"])
     wh = Warehouse.from_lines(spark, lines, master, stage)
     wh.build()
-    rejected = spark.read.parquet(f"{root}/quarantine").count()
+    rejected = spark.read.schema("batch_id string").parquet(f"{root}/quarantine").count()
     raw = wh.line_count + rejected if raw_rows is None else raw_rows
     return _load(wh, root, "incremental", "batches", started, raw, rejected)
 

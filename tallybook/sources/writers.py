@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,6 @@ from pyspark.sql import functions as F
 from tallybook.schemas import RAW_COLUMNS, TABLES, UNIQUE_COLUMNS, conform
 
 SAMPLE_ROWS = 100
-REJECTION_LOG_ROWS = 500
 _LOG_NAMES = {
     "InvoiceNo": "invoice_no", "StockCode": "stock_code", "Quantity": "quantity", "UnitPrice": "unit_price",
     "CustomerID": "customer_id",
@@ -26,6 +26,17 @@ def overwrite_partitions(df: DataFrame, path: str, *keys: str) -> None:
     writer.partitionBy(*keys).parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, key: str, values: Sequence[str]) -> None:
+    """Replace the partitions of all ``values``; those without rows in ``df`` end up empty."""
+    overwrite_partitions(df, path, key)
+    spark = df.sparkSession
+    now = {r[0] for r in df.select(key).distinct().collect()}  # batches of one delivery
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for value in set(values) - now:
+        stale = jvm.org.apache.hadoop.fs.Path(f"{path}/{key}={value}")
+        stale.getFileSystem(conf).delete(stale, True)
+
+
 def write_csv(df: DataFrame, path: str, *keys: str) -> None:
     """CSV with a header. Blanks around values survive; empty text reads back as missing."""
     writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
@@ -64,18 +75,18 @@ def quarantine(rejected: DataFrame, root: str) -> None:
     overwrite_partitions(rejected, f"{root}/quarantine", "batch_id")
 
 
-def rejection_log(rejected: DataFrame, rows: int = REJECTION_LOG_ROWS) -> DataFrame:
-    """The first rejected lines under the log's column names; the log holds a sample by design."""
+def rejection_log(rejected: DataFrame, rows: int | None = None) -> DataFrame:
+    """The rejected lines under the log's column names; ``rows`` keeps only the first ones."""
     order = [F.col(c) for c in ("batch_id", "rejection_reason", "InvoiceNo", "StockCode", "Quantity", "UnitPrice",
                                 "CustomerID")]
-    first = rejected.orderBy(*order).limit(rows).withColumnsRenamed(_LOG_NAMES)
+    first = (rejected if rows is None else rejected.orderBy(*order).limit(rows)).withColumnsRenamed(_LOG_NAMES)
     wanted = [c for c in TABLES["etl_rejection_log"] if c in first.columns]
     return first.select(*wanted).withColumn("logged_at", F.col("logged_at").try_cast("timestamp_ntz"))
 
 
-def write_table(df: DataFrame, root: str, table: str) -> int:
-    """Replace a warehouse table and return its rows; an empty result leaves the old table alone."""
-    if df.isEmpty():
+def write_table(df: DataFrame, root: str, table: str, keep_if_empty: bool = False) -> int:
+    """Replace a warehouse table, empty or not, and return its rows; ``keep_if_empty`` leaves the old one for no rows."""
+    if keep_if_empty and df.isEmpty():
         return 0
     path = f"{root.rstrip('/')}/{table}"
     conform(df, table).write.mode("overwrite").parquet(path)

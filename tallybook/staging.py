@@ -7,6 +7,7 @@ session names in ``spark.checkpoint.dir``; only a local session without one gets
 from __future__ import annotations
 
 import itertools
+import re
 import tempfile
 import threading
 import uuid
@@ -21,7 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
         folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
         if folder:
             return folder
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):  # local-cluster is a cluster
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="tallybook-")
         spark.sparkContext.setCheckpointDir(folder)

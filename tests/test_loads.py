@@ -116,11 +116,39 @@ def test_missing_table_is_empty_with_its_columns(spark, tmp_path):
     assert none.count() == 0 and "execution_duration_sec" in none.columns
 
 
-def test_empty_result_keeps_the_old_table(spark, full):
+def test_empty_result(spark, full, tmp_path):
     root, result = full
     old = readers.read_table(spark, root, "dim_geography")
-    assert writers.write_table(old.limit(0), root, "dim_geography") == 0
+    assert writers.write_table(old.limit(0), root, "dim_geography", keep_if_empty=True) == 0
     assert readers.read_table(spark, root, "dim_geography").count() == result["table_counts"]["dim_geography"]
+    writers.write_table(old, str(tmp_path), "dim_geography")
+    assert writers.write_table(old.limit(0), str(tmp_path), "dim_geography") == 0
+    assert readers.read_table(spark, str(tmp_path), "dim_geography").count() == 0
+
+
+def test_late_lines_and_redelivery(spark, tmp_path):
+    def batch(batch_id, month, numbers, price="2.5"):
+        return [(str(500000 + i), f"A{i}", f"THING {i}", 3, f"2011-{month}-05 10:00:00", price, "12345", "France", batch_id)
+                for i in numbers]
+
+    def deliver(*rows, ids=None):
+        df = spark.createDataFrame([r for part in rows for r in part], ", ".join(
+            f"{c} {'int' if c == 'Quantity' else 'string'}" for c in [*RAW_COLUMNS, "batch_id"]))
+        etl.load_batches(spark, df, str(tmp_path), ids)
+
+    def count(table):
+        found = spark.read.schema("batch_id string").parquet(f"{tmp_path}/{table}").groupBy("batch_id").count().collect()
+        return {r["batch_id"]: r["count"] for r in found}
+
+    deliver(batch("batch_2011_01", "01", range(10)) + batch("batch_2011_01", "01", [99], "-1"))
+    deliver(batch("batch_2011_02", "02", range(20, 25)) + batch("batch_2011_02", "01", [30]) + batch("batch_2011_02", "01", [3]))
+    assert count("lines") == {"batch_2011_01": 10, "batch_2011_02": 7} and count("quarantine") == {"batch_2011_01": 1}
+    assert count("etl_rejection_log") == {"batch_2011_01": 1}
+    assert etl.rebuild(spark, None, str(tmp_path))["fact_sales"] == 16  # line 3 came twice
+    deliver(batch("batch_2011_01", "01", range(10)))  # again, without rejects
+    assert count("lines")["batch_2011_01"] == 10 and count("quarantine") == {} and count("etl_rejection_log") == {}
+    deliver(batch("batch_2011_01", "01", range(10), "-1"))  # again, all rejected
+    assert count("lines") == {"batch_2011_02": 7} and count("quarantine") == {"batch_2011_01": 10}
 
 
 def test_staging_and_quarantine_are_idempotent(spark, raw, tmp_path):
