@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tallybook.llm import bpe, chat, chunks, mixing, pii, pq, repetition, simhash, tokens, urls
+from tallybook.llm import bpe, chat, checks, chunks, mixing, pii, pq, repetition, simhash, tokens, urls
 from tallybook.llm.common import table
 from tallybook.staging import Stage
 
@@ -60,4 +60,4 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_substring_dedup, op3_url_filter, op4_chat, op5_bpe, op6_simhash, op7_token_counts, op8_pii,
     op9_mixing, op10_embedding_dedup)} | {"pipeline": corpus_pipeline.run}
-ORACLE: dict[str, str] = {}
+ORACLE = checks.sql_by_query()

@@ -3,11 +3,13 @@
 import random
 
 import corpus_pipeline
+import duckdb
 import numpy as np
+import parity
 import pytest
 from llm.conftest import ordered
 from pyspark.sql import functions as F
-from tallybook.llm import chat, components, pq, registry, urls
+from tallybook.llm import chat, checks, components, mixing, pq, registry, repetition, urls
 from tallybook.staging import Stage
 
 URLS = [None, "", "no scheme", "http://EXAMPLE.org/en/1x?q#f", "https://a.b.example.org/es/", "http://example.org/es", "x://org",
@@ -125,5 +127,12 @@ def test_pipeline(spark, request, folder):
     assert set(docs.columns) >= {"doc_id", "ids", "n_tokens"}
 
 
+@pytest.mark.parametrize("name,operator", [("op1_quality_rules", repetition.judge), ("op9_mixing", mixing.mix)])
+def test_sql_on_odd_rows(docs, name, operator):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet({docs.inputFiles()})")
+    assert parity.differences(operator(docs), con, checks.sql_by_query()[name]) == []
+
+
 def test_queries_are_named(spark):
     assert [n.split("_")[0] for n in registry.QUERIES] == [*[f"op{i}" for i in range(1, 11)], "pipeline"]
