@@ -45,6 +45,19 @@ SELECT s.feature, s.nb, s.nc, ROUND(COALESCE(p.psi, 0.0), 4) AS psi_score, ROUND
   ROUND(s.mean_b, 2) AS baseline_mean, ROUND(s.mean_c, 2) AS current_mean
 FROM sizes s JOIN kss k ON k.feature = s.feature LEFT JOIN psis p ON p.feature = s.feature"""
 
+# The p-value is the asymptotic Kolmogorov series of the statistic scaled by both sizes.
+_ALERTS = """measured AS (SELECT s.feature, COALESCE(p.psi, 0.0) AS psi, k.ks, s.mean_b, s.mean_c,
+    SQRT(CAST(s.nb AS DOUBLE) * s.nc / (s.nb + s.nc)) * k.ks AS x
+    FROM sizes s JOIN kss k ON k.feature = s.feature LEFT JOIN psis p ON p.feature = s.feature
+    WHERE s.nb >= 5 AND s.nc >= 5),
+  tested AS (SELECT *, CASE WHEN x < 0.2 THEN 1.0 ELSE LEAST(1.0, GREATEST(0.0, 2 * list_sum(
+    [(CASE WHEN i % 2 = 1 THEN 1 ELSE -1 END) * EXP(-2 * i * i * x * x) FOR i IN range(1, 101)]))) END AS p FROM measured),
+  alerts AS (SELECT feature, ROUND(psi, 4) AS psi_score, ROUND(ks, 4) AS ks_statistic, ROUND(p, 5) AS p_value,
+    ROUND(mean_b, 2) AS baseline_mean, ROUND(mean_c, 2) AS current_mean,
+    CASE WHEN ROUND(psi, 4) >= 0.25 OR p < 0.01 THEN 'HIGH DRIFT (ALERT)'
+      WHEN ROUND(psi, 4) >= 0.10 OR p < 0.05 THEN 'MODERATE DRIFT (WARNING)' ELSE 'STABLE (NO DRIFT)' END AS alert_level
+    FROM tested)"""
+
 _NUMERIC = ["recency_days", "frequency_orders", "monetary_spend", "avg_order_value", "total_units",
             "cancellation_rate", "inter_purchase_mean", "inter_purchase_std", "product_variety"]
 _SIDE = "CASE WHEN substr(md5(CAST(customer_id AS STRING) || ':42'), 1, 6) < '99999a' THEN 'b' ELSE 'c' END"
@@ -376,4 +389,8 @@ def sql_by_query() -> dict[str, str]:
     out["psi_shifted"] = _append(_psi(shifted), "SELECT feature, ROUND(psi, 4) AS psi_score FROM psis")
     out["event_drift"] = _append(_psi(shifted), _DRIFT_OUT)
     out["drift_report"] = _append(_psi(_FEATURE_VALUES), _DRIFT_OUT)
+    out["drift_alerts"] = _append(f"{_psi(_FEATURE_VALUES)},\n  {_ALERTS}", "SELECT * FROM alerts")
+    out["drift_status"] = _append(f"{_psi(_FEATURE_VALUES)},\n  {_ALERTS}", """
+SELECT COUNT(*) FILTER (alert_level = 'HIGH DRIFT (ALERT)') AS high_drift_features,
+  COUNT(*) FILTER (alert_level = 'HIGH DRIFT (ALERT)') = 0 AS is_stable FROM alerts""")
     return out

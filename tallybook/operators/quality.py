@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallybook.functions.coerce import col, is_blank, starts_with_c, to_moment, to_number
@@ -82,8 +83,7 @@ def validate_batch(raw: DataFrame, batch_id: str, logged_at: Column | None = Non
 def rejection_audit(rejected: DataFrame) -> DataFrame:
     """Count and share of each reason over all quarantined lines."""
     counts = rejected.groupBy(REASON).agg(F.count("*").alias("count"))
-    total = counts.agg(F.sum("count")).scalar()
-    return counts.withColumn("_total", total).select(
+    return counts.withColumn("_total", F.sum("count").over(W.partitionBy())).select(
         REASON, "count", ratio(col("count") * 100, "_total", 2).alias("pct"))
 
 

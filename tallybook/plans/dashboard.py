@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallybook.functions.money import mean_amount, ratio, share_pct
@@ -94,8 +95,7 @@ def top15_products(products: DataFrame, category: str = ALL_CATEGORIES) -> DataF
 
 def category_share(products: DataFrame) -> DataFrame:
     grouped = products.groupBy("category").agg(F.sum("total_revenue").alias("total_revenue"))
-    total = grouped.agg(F.sum("total_revenue")).scalar()
-    return grouped.withColumn("_total", total).select(
+    return grouped.withColumn("_total", F.sum("total_revenue").over(W.partitionBy())).select(
         "category", "total_revenue", share_pct("total_revenue", "_total").alias("share_pct"))
 
 

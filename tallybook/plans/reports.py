@@ -7,6 +7,7 @@ key costs no more than any other.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallybook.functions.money import mean_amount, ratio, share_pct
@@ -66,7 +67,7 @@ def rfm_segments(mart_customer_rfm: DataFrame) -> DataFrame:
         F.sum("frequency").alias("_frequency"),
         F.sum("monetary_total").alias("segment_total_spend_gbp"),
     )
-    total = segments.agg(F.sum("segment_total_spend_gbp")).scalar()
+    total = F.sum("segment_total_spend_gbp").over(W.partitionBy())
     return segments.withColumn("_total", total).select(
         "customer_segment",
         "customer_count",
@@ -83,9 +84,9 @@ def geography_performance(fact_sales: DataFrame, dim_geography: DataFrame, n: in
     invoices = _sold(fact_sales).groupBy("geography_key", "invoice_no").agg(F.sum("total_amount").alias("amount"))
     markets = invoices.groupBy("geography_key").agg(
         F.count("*").alias("total_orders"), F.sum("amount").alias("market_revenue_gbp"))
-    # Every line has a market, so the grand total is the sum of the groups: no second scan of the fact.
-    total = markets.agg(F.sum("market_revenue_gbp")).scalar()
-    named = markets.join(dim_geography, "geography_key").withColumn("_total", total)
+    # Every line has a market, so the grand total is the sum over the few groups.
+    total = F.sum("market_revenue_gbp").over(W.partitionBy())
+    named = markets.withColumn("_total", total).join(dim_geography, "geography_key")
     return named.select(
         "region", "market_tier", "country_name", "total_orders", "market_revenue_gbp",
         share_pct("market_revenue_gbp", "_total").alias("revenue_contribution_pct"),
