@@ -30,7 +30,7 @@ CORES = os.environ.get("BENCH_CPUS", "8")
 SKIP = {
     "model_comparison", "model_info", "churn_scores", "churn_score_totals", "reloaded_model_scores",
     "incremental_fact_sales", "incremental_rfm", "streamed_lines", "loaded_row_counts", "d5_audit_trail",
-    "fact_sales_sample",
+    "fact_sales_sample", "batch_raw_counts",
 }
 
 

@@ -249,6 +249,8 @@ def sql_by_query() -> dict[str, str]:
     q["streamed_lines"] = f"""SELECT invoice_no AS InvoiceNo, stock_code AS StockCode, description AS Description,
       country AS Country, ts AS InvoiceDate, q AS Quantity, CAST(up AS DOUBLE) AS UnitPrice, customer_id, date_key,
       CAST(amount AS DOUBLE) AS total_amount, is_cancelled, {month.format('ts')} AS batch_id FROM lines"""
+    q["latest_batch_lines"] = f"SELECT * FROM ({q['streamed_lines']}) QUALIFY batch_id = MAX(batch_id) OVER ()"
+    q["batch_raw_counts"] = f"SELECT batch_id, row_count AS raw_rows FROM ({q['batch_partition_counts']})"
     q["sql_western_europe"] = """SELECT g.country_name, d.year, COUNT(DISTINCT f.invoice_no) AS orders,
       CAST(SUM(f.total_amount) AS DOUBLE) AS revenue FROM fact_sales f
       JOIN dim_geography g ON g.geography_key = f.geography_key JOIN dim_date d ON d.date_key = f.date_key

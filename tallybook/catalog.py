@@ -79,6 +79,13 @@ class Workspace(Warehouse):
         etl.run_incremental(self.spark, batches.read_monthly(self.spark, self.months), self.master, root)
         return root
 
+    @cached_property
+    def loaded_latest(self) -> str:
+        """Folder of a load of the newest month alone."""
+        root = f"{self.stage.root}/latest-load"
+        etl.run_latest(self.spark, self.months, self.master, root)
+        return root
+
     @cached_property
     def loaded_by_stream(self) -> str:
         root = f"{self.stage.root}/stream-load"
@@ -273,6 +280,9 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "incremental_fact_sales": lambda w: readers.read_table(w.spark, w.loaded_by_month, "fact_sales"),
     "incremental_rfm": lambda w: readers.read_table(w.spark, w.loaded_by_month, "mart_customer_rfm"),
     "streamed_lines": lambda w: w.spark.read.parquet(f"{w.loaded_by_stream}/lines"),
+    "latest_batch_lines": lambda w: w.spark.read.parquet(f"{w.loaded_latest}/lines"),
+    "batch_raw_counts": lambda w: w.spark.read.schema("raw_rows long, batch_id string").parquet(
+        f"{w.loaded_by_month}/raw_counts"),
     "sql_western_europe": _sql,
     # star schema and marts
     **{name: (lambda w, name=name: w.table(name)) for name in WAREHOUSE_TABLES},

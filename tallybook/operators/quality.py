@@ -50,7 +50,11 @@ def clean_lines(raw: DataFrame) -> DataFrame:
 
 
 def rejected_lines(raw: DataFrame, batch_id: Column | str, logged_at: Column) -> DataFrame:
-    tagged = gate(raw).filter(col(REASON).isNotNull())
+    return rejected_of(gate(raw), batch_id, logged_at)
+
+
+def rejected_of(gated: DataFrame, batch_id: Column | str, logged_at: Column) -> DataFrame:
+    tagged = gated.filter(col(REASON).isNotNull())
     batch = F.lit(batch_id) if isinstance(batch_id, str) else batch_id
     return tagged.withColumns({"batch_id": batch, "logged_at": logged_at}).select(*REJECT_COLUMNS)
 

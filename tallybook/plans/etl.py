@@ -16,8 +16,9 @@ from tallybook.operators.cleaning import clean_and_transform, drop_copies
 from tallybook.plans.warehouse import Warehouse
 from tallybook.schemas import FULL_BATCH, WAREHOUSE_TABLES, conform
 from tallybook.sources import writers
+from tallybook.sources.batches import latest_batch, read_monthly
 from tallybook.sources.readers import limit_rows, read_table
-from tallybook.staging import Stage
+from tallybook.staging import Stage, stage_of
 
 
 def _load(wh: Warehouse, root: str, batch_id: str, source: str, started: float, raw: int, rejected: int) -> dict:
@@ -84,21 +85,27 @@ def _log_rejects(quarantined: DataFrame, root: str, batch_ids: Sequence[str]) ->
 
 
 def load_batches(
-    spark: SparkSession, batches: DataFrame, root: str, batch_ids: Sequence[str] | None = None
+    spark: SparkSession, batches: DataFrame, root: str, batch_ids: Sequence[str] | None = None,
+    stage: Stage | None = None,
 ) -> None:
     """Gate and clean delivered batches into ``lines`` and ``quarantine``, both partitioned by delivered batch.
 
     Each delivered batch replaces its own partitions and no others, also when it has no rejects or nothing else, so
     repeating or reordering batches changes nothing and a late line of an older month takes nothing away.
+    The delivered files are read once; ``raw_counts`` keeps the raw lines of each batch, so that no later load counts
+    old files again.
     """
     wanted = batches if batch_ids is None else batches.filter(F.col("batch_id").isin(list(batch_ids)))
-    delivered = sorted({*(batch_ids or ()), *[r[0] for r in wanted.select("batch_id").distinct().collect()]})
+    gated = stage_of(wanted, stage).table(quality.gate(wanted), "delivered")
+    counted = gated.groupBy("batch_id").agg(F.count("*").alias("raw_rows"))
+    delivered = sorted({*(batch_ids or ()), *[r[0] for r in counted.select("batch_id").collect()]})
     if not delivered:
         return
+    writers.replace_partitions(counted, f"{root}/raw_counts", "batch_id", delivered)
     now = F.current_timestamp().cast("timestamp_ntz")
-    rejected = quality.rejected_lines(wanted, F.col("batch_id"), now)
+    rejected = quality.rejected_of(gated, F.col("batch_id"), now)
     writers.replace_partitions(rejected, f"{root}/quarantine", "batch_id", delivered)
-    clean = quality.gate(wanted).filter(F.col(quality.REASON).isNull())
+    clean = gated.filter(F.col(quality.REASON).isNull()).drop(quality.REASON)
     writers.replace_partitions(clean_and_transform(clean), f"{root}/lines", "batch_id", delivered)
     held = spark.read.schema(rejected.schema).parquet(f"{root}/quarantine").filter(F.col("batch_id").isin(delivered))
     _log_rejects(held, root, delivered)
@@ -109,20 +116,16 @@ def rebuild(
     master: DataFrame | None,
     root: str,
     stage: Stage | None = None,
-    raw_rows: int | None = None,
 ) -> dict:
-    """Recompute all dimensions, facts and marts from the loaded lines of every batch.
-
-    ``raw_rows`` goes to the audit; unknown, it is what is left of the raw lines (copies not counted).
-    """
+    """Recompute all dimensions, facts and marts from the loaded lines of every batch."""
     started = time.time()
     # A line may come in several batches; the first batch counts.
     lines = drop_copies(spark.read.parquet(f"{root}/lines"), first_by=["batch_id"])
     wh = Warehouse.from_lines(spark, lines, master, stage)
     wh.build()
     rejected = spark.read.schema("batch_id string").parquet(f"{root}/quarantine").count()
-    raw = wh.line_count + rejected if raw_rows is None else raw_rows
-    return _load(wh, root, "incremental", "batches", started, raw, rejected)
+    raw = spark.read.schema("raw_rows long, batch_id string").parquet(f"{root}/raw_counts").agg(F.sum("raw_rows")).first()[0]
+    return _load(wh, root, "incremental", "batches", started, raw or 0, rejected)
 
 
 def run_incremental(
@@ -134,6 +137,19 @@ def run_incremental(
     stage: Stage | None = None,
 ) -> dict:
     """Load batches (all of them, or the named ones) and rebuild from everything loaded so far."""
-    load_batches(spark, batches, root, batch_ids)
-    loaded = spark.read.parquet(f"{root}/lines").select("batch_id").distinct()
-    return rebuild(spark, master, root, stage, batches.join(loaded, "batch_id", "left_semi").count())
+    load_batches(spark, batches, root, batch_ids, stage)
+    return rebuild(spark, master, root, stage)
+
+
+def run_latest(
+    spark: SparkSession, folder: str, master: DataFrame | None, root: str, stage: Stage | None = None
+) -> dict | None:
+    """Load the newest batch that the manifest in ``folder`` names, reading its files only, and rebuild.
+
+    An empty manifest loads nothing and gives None.
+    """
+    newest = latest_batch(spark.read.json(f"{folder}/manifest")).first()
+    if newest is None:
+        return None
+    ids = [newest["batch_id"]]
+    return run_incremental(spark, read_monthly(spark, folder, ids), master, root, ids, stage)

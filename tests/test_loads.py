@@ -149,6 +149,18 @@ def test_late_lines_and_redelivery(spark, tmp_path):
     assert count("lines")["batch_2011_01"] == 10 and count("quarantine") == {} and count("etl_rejection_log") == {}
     deliver(batch("batch_2011_01", "01", range(10), "-1"))  # again, all rejected
     assert count("lines") == {"batch_2011_02": 7} and count("quarantine") == {"batch_2011_01": 10}
+    etl.rebuild(spark, None, str(tmp_path))
+    audit = readers.read_table(spark, str(tmp_path), "etl_audit_log").orderBy("extraction_timestamp").collect()
+    assert [r["raw_row_count"] for r in audit] == [18, 17]
+
+
+def test_latest_batch(spark, raw, tmp_path):
+    folder, root = f"{tmp_path}/landing", f"{tmp_path}/warehouse"
+    newest = max(r["batch_id"] for r in batches.export_monthly(raw, folder).collect())
+    result = etl.run_latest(spark, folder, None, root)
+    loaded = spark.read.parquet(f"{root}/lines")
+    assert [r[0] for r in loaded.select("batch_id").distinct().collect()] == [newest]
+    assert 0 < result["fact_sales"] <= batches.read_monthly(spark, folder, [newest]).count()
 
 
 def test_staging_and_quarantine_are_idempotent(spark, raw, tmp_path):
