@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import packed, ranges, slices, strings, sums, unpacked, words_of
+from tallybook.llm.common import packed, ranges, release, slices, strings, sums, unpacked, words_of
 
 #: Bound of a tokenizer file, which is broadcast.
 TOKENIZER_BYTES = 64 << 20
@@ -197,6 +197,7 @@ def encode(
                 [batch.column("block"), batch.column("check"), batch.column("part"),
                  pa.array(sizes, pa.binary()), pa.array(codes, pa.binary())],
                 [*_BLOCK, "part", "word_sizes", "word_ids"])
+            release()
 
     words = rows.mapInArrow(word_rows, "block long, check long, part int, words binary")
     encoded = words.repartition("part").mapInArrow(
@@ -227,6 +228,7 @@ def encode(
                 bounds = np.concatenate([[0], np.cumsum(row["sizes"].values.to_numpy())]).astype(np.int64)
                 token_bounds = np.concatenate([[0], np.cumsum(per_word)])[bounds]
                 yield from _documents(row["ids"].values, all_ids, token_bounds, table, derive and derive[1])
+            release()
 
     return joined.mapInArrow(assemble, f"doc_id long, {derive[0] if derive else 'ids array<int>, decoded string'}")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -44,6 +46,14 @@ def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
+def release() -> None:
+    """Give freed memory back to the system: Python workers outlive their tasks and would hold it beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim:
+        trim(0)
+
+
 def slices(batches, column: str, limit: int = BLOCK_BYTES):
     """Record batches cut so that ``column`` holds at most ``limit`` bytes (a longer value stands alone)."""
     for batch in batches:
@@ -56,6 +66,7 @@ def slices(batches, column: str, limit: int = BLOCK_BYTES):
             stop = max(start + 1, int(np.searchsorted(ends, done + limit, side="right")))
             yield batch.slice(start, stop - start)
             start, done = stop, int(ends[stop - 1])
+        release()
 
 
 def packed(values: np.ndarray) -> bytes:
