@@ -14,6 +14,7 @@ import hashlib
 import json
 import os
 import re
+from itertools import islice
 from pathlib import Path
 
 import numpy as np
@@ -31,6 +32,8 @@ from tallybook.llm.common import packed, ranges, release, slices, strings, sums,
 TOKENIZER_BYTES = 64 << 20
 #: Text bytes that share one list of distinct words.
 DICTIONARY_BYTES = 4 << 20
+#: Distinct words that go to the tokenizer together; its results take about a hundred bytes an id until they are packed.
+WORDS_AT_ONCE = 20_000
 _BLOCK = ["block", "check"]
 
 
@@ -178,21 +181,34 @@ def encode(
     def encode_words(batches):
         model = _tokenizer(spec.value)
         ends_word = _ends_word(model)
-        place: dict[str, int] = {}
-        lengths, ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        unpack = zstandard.ZstdDecompressor()
+
+        def listed(blob):
+            return unpack.decompress(blob).decode().split("\n")
+
+        # Rows come sorted by part; what is held is one part's distinct words and their ids.
+        current, place, lengths, ids = None, {}, np.zeros(0, np.int64), np.zeros(0, np.uint32)
         for batch in batches:
-            lists = [zstandard.ZstdDecompressor().decompress(b).decode().split("\n")
-                     for b in batch.column("words").to_pylist()]
-            new = [w for w in dict.fromkeys(w for words in lists for w in words) if w not in place]
-            place.update(zip(new, range(len(place), len(place) + len(new))))
-            more, own = _encode(model, ends_word, new)
-            lengths, ids = np.concatenate([lengths, more]), np.concatenate([ids, own])
-            starts = np.cumsum(lengths) - lengths
+            part = batch.column("part").to_numpy()
             sizes, codes = [], []
-            for words in lists:
-                at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-                sizes.append(packed(lengths[at]))
-                codes.append(packed(ids[ranges(starts[at], lengths[at])]))
+            for run in np.split(np.arange(len(part)), np.flatnonzero(np.diff(part)) + 1):
+                if part[run[0]] != current:
+                    current, place, lengths, ids = part[run[0]], {}, lengths[:0], ids[:0]
+                blobs = batch.column("words").slice(run[0], len(run))
+                known = len(place)
+                for blob in blobs:
+                    for word in listed(blob.as_py()):
+                        place.setdefault(word, len(place))
+                new = list(islice(place, known, None))
+                made = [_encode(model, ends_word, new[i : i + WORDS_AT_ONCE]) for i in range(0, len(new), WORDS_AT_ONCE)]
+                lengths = np.concatenate([lengths, *(m[0] for m in made)])
+                ids = np.concatenate([ids, *(m[1] for m in made)])
+                starts = np.cumsum(lengths) - lengths
+                for blob in blobs:
+                    words = listed(blob.as_py())
+                    at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+                    sizes.append(packed(lengths[at]))
+                    codes.append(packed(ids[ranges(starts[at], lengths[at])]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("block"), batch.column("check"), batch.column("part"),
                  pa.array(sizes, pa.binary()), pa.array(codes, pa.binary())],
@@ -200,7 +216,7 @@ def encode(
             release()
 
     words = rows.mapInArrow(word_rows, "block long, check long, part int, words binary")
-    encoded = words.repartition("part").mapInArrow(
+    encoded = words.repartition("part").sortWithinPartitions("part").mapInArrow(
         encode_words, "block long, check long, part int, word_sizes binary, word_ids binary")
     # One line per part and block, so a list is bounded by the distinct words of one block.
     answers = encoded.groupBy(*_BLOCK).agg(
