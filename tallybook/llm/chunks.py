@@ -2,8 +2,9 @@
 
 A gear rolling hash runs over the bytes of a text's words (blanks do not matter, so neither does line wrapping). A chunk ends
 after a word where the hash meets a condition; the hash sees the last ``WINDOW`` bytes only, so an insertion moves the
-chunk ends near it and no others. Chunks found more than once are duplicates; adjacent ones join to passages, and
-passages of at least ``MIN_WORDS`` words count. The first occurrence in stored order is kept.
+chunk ends near it and no others. Among chunks found more than once, windows of adjacent ones with at least ``MIN_WORDS``
+words count if the whole window is found more than once; such windows join to passages. The first occurrence of a window
+in stored order is kept.
 
 The counts per digest combine before the shuffle; the digests found twice are written before the join, so that a
 passage which many documents share can be split over tasks.
@@ -89,6 +90,37 @@ def chunk_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return rows.mapInArrow(run, _CHUNKS)
 
 
+def _windows(batches, min_words: int):
+    """Stretches of adjacent repeated chunks: from each chunk on, and up to each chunk, the shortest of ``min_words`` words."""
+    for batch in batches:
+        out = [[], [], [], []]
+        chunks = batch.column("chunks")
+        offsets, flat = chunks.offsets.to_numpy(), chunks.values
+        fields = [flat.field(c).to_numpy() for c in ("lo", "hi", "digest")]
+        for row, a, b in zip(batch.column("row").to_pylist(), offsets[:-1], offsets[1:]):
+            lo, hi, digest = (f[a:b] for f in fields)
+            run = np.concatenate([[0], np.cumsum(lo[1:] != hi[:-1])])
+            places = np.arange(len(lo))
+            last = np.searchsorted(hi, lo + min_words)
+            first = np.searchsorted(lo, hi - min_words, side="right") - 1
+            pairs = np.concatenate([np.stack([places, last], 1)[last < len(lo)], np.stack([first, places], 1)[first >= 0]])
+            pairs = np.unique(pairs[run[pairs[:, 0]] == run[pairs[:, 1]]], axis=0)
+            for i, j in pairs.tolist():
+                mark = xxhash.xxh3_64_intdigest(digest[i : j + 1].tobytes())
+                for values, value in zip(out, (row, lo[i], hi[j], mark - (1 << 64 if mark >> 63 else 0))):
+                    values.append(value)
+        yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out], ["row", "lo", "hi", "digest"])
+
+
+def _joined(stretches: DataFrame) -> DataFrame:
+    """``row``, ``lo`` and ``hi``: stretches of a row that overlap or touch, as one."""
+    order = W.partitionBy("row").orderBy("lo", "hi")
+    apart = F.coalesce(F.col("lo") > F.max("hi").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(True))
+    joined = stretches.withColumn("apart", apart.cast("int")).withColumn(
+        "passage", F.sum("apart").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    return joined.groupBy("row", "passage").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+
 def repeated_passages(
     docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, stage: Stage | None = None,
 ) -> DataFrame:
@@ -104,30 +136,27 @@ def repeated_passages(
     found = table.select("row", F.explode(F.arrays_zip("digests", "places")).alias("c")).select(
         F.col("c.digests").alias("digest"), "row", F.col("c.places").alias("place"))
     first_word = F.shiftright("place", 32)
-    counts = found.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.col("row") + first_word).alias("first"))
-    twice = stage.table(counts.filter("n > 1").select("digest", "first"), "repeated")
+    counts = found.groupBy("digest").agg(F.count("*").alias("n"))
+    twice = stage.table(counts.filter("n > 1").select("digest"), "repeated")
     copies = found.join(twice, "digest").select(
-        "row", first_word.alias("lo"), (first_word + F.col("place").bitwiseAND(F.lit(0xFFFFFFFF))).alias("hi"),
-        (F.col("row") + first_word > F.col("first")).alias("again"))
-
-    # Within one document: adjacent chunks join to passages.
-    order = W.partitionBy("row").orderBy("lo")
-    # Inside a passage, only long stretches of later copies go: a short chunk of a first copy may occur earlier by chance.
-    apart = F.coalesce(F.lag("hi").over(order) != F.col("lo"), F.lit(True))
-    turned = F.coalesce(F.lag("again").over(order) != F.col("again"), F.lit(True))
-    so_far = order.rowsBetween(W.unboundedPreceding, 0)
-    joined = copies.withColumn("apart", apart.cast("int")).withColumn("turned", (apart | turned).cast("int"))
-    joined = joined.withColumn("passage", F.sum("apart").over(so_far)).withColumn("stretch", F.sum("turned").over(so_far))
-    stretches = joined.groupBy("row", "passage", "stretch", "again").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    goes = F.col("again") & (F.col("hi") - F.col("lo") >= min_words)
-    passages = stretches.groupBy("row", "passage").agg(
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-        F.collect_list(F.when(goes, F.struct(F.col("lo").alias("start"), F.col("hi").alias("end")))).alias("cuts"),
-        F.sum(F.when(goes, F.col("hi") - F.col("lo")).otherwise(0)).alias("removed"))
-    passages = passages.filter(F.col("hi") - F.col("lo") >= min_words)
+        "row", first_word.alias("lo"), (first_word + F.col("place").bitwiseAND(F.lit(0xFFFFFFFF))).alias("hi"), "digest")
+
+    # Chunks next to each other may each occur elsewhere by chance: only windows found twice as a whole count.
+    by_row = copies.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "digest"))).alias("chunks"))
+    windows = stage.table(by_row.mapInArrow(
+        lambda batches: _windows(batches, min_words), "row long, lo long, hi long, digest long"), "windows")
+    counts = windows.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.col("row") + F.col("lo")).alias("first"))
+    twice = stage.table(counts.filter("n > 1").select("digest", "first"), "repeated-windows")
+    repeats = stage.table(windows.join(twice, "digest").select(
+        "row", "lo", "hi", (F.col("row") + F.col("lo") > F.col("first")).alias("again")), "repeats")
+    passages, cuts = _joined(repeats), _joined(repeats.filter("again"))
     listed = F.transform(F.sort_array(F.collect_list(F.struct("lo", "hi"))), lambda p: F.concat_ws(":", p["lo"], p["hi"]))
     by_row = passages.groupBy("row").agg(
-        F.sum(F.col("hi") - F.col("lo")).alias("repeated_words"), F.sum("removed").alias("removed_words"),
-        F.array_join(listed, ",").alias("passages"), F.sort_array(F.flatten(F.collect_list("cuts"))).alias("cuts"))
-    return by_row.join(table.select("row", "doc_id", "n_words"), "row").select(
-        "doc_id", F.col("n_words").cast("long").alias("n_words"), "repeated_words", "removed_words", "passages", "cuts")
+        F.sum(F.col("hi") - F.col("lo")).alias("repeated_words"), F.array_join(listed, ",").alias("passages"))
+    cuts = cuts.groupBy("row").agg(
+        F.sum(F.col("hi") - F.col("lo")).alias("removed"),
+        F.sort_array(F.collect_list(F.struct(F.col("lo").alias("start"), F.col("hi").alias("end")))).alias("gone"))
+    cut = F.coalesce("gone", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("cuts")
+    return by_row.join(cuts, "row", "left").join(table.select("row", "doc_id", "n_words"), "row").select(
+        "doc_id", F.col("n_words").cast("long").alias("n_words"), "repeated_words",
+        F.coalesce("removed", F.lit(0).cast("long")).alias("removed_words"), "passages", cut)
