@@ -52,7 +52,7 @@ def to_whole(c: Column | str) -> Column:
 
 
 #: Accepted besides ISO: US dates with and without a time, and a named month.
-DATE_FORMATS = ["M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy", "d-MMM-yyyy H:mm", "d-MMM-yyyy"]
+DATE_FORMATS = ["M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy", "d-MMM-yyyy H:mm:ss", "d-MMM-yyyy H:mm", "d-MMM-yyyy"]
 #: Moments outside these years are no dates.
 FIRST_YEAR, LAST_YEAR = 1678, 2261
 
