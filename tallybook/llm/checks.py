@@ -1,4 +1,4 @@
-"""DuckDB form of the queries that SQL can express: op1, op3, op9 and op10, written from their contracts.
+"""DuckDB form of the queries that SQL can express: op1, op3, op9, op10 and op11, written from their contracts.
 
 The others have none: XXH64 fingerprints (op6), gear-hash chunks (op2), tokenizers (op5, op7), a trained Markov model
 (op4) and spans chosen by checksum and context (op8).
@@ -132,6 +132,25 @@ SELECT vec_id, CAST(COALESCE(n, 0) AS BIGINT) AS n_links, component_id,
 FROM vectors JOIN parts USING (r) LEFT JOIN counts USING (r)"""
 
 
+def hard_negatives() -> str:
+    """Every anchor against every row; sums of whole doubles below 2 ** 53 are exact."""
+    return """
+WITH good AS (SELECT row_number() OVER () AS r, vec_id,
+      CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+  scores AS (SELECT a.r AS anchor, a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS alike,
+      CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM good a JOIN good b ON a.vec_id % 50 = 0 AND a.r <> b.r AND len(a.v) = len(b.v)),
+  positives AS (SELECT anchor, anchor_id, other AS positive_id, score AS positive_score,
+      row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other NULLS LAST) AS place FROM scores WHERE alike),
+  ranked AS (SELECT p.anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+      row_number() OVER (PARTITION BY anchor, place ORDER BY score DESC, other NULLS LAST) AS n
+    FROM positives p JOIN scores s USING (anchor)
+    WHERE place <= 5 AND NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(n AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE n <= 3"""
+
+
 def sql_by_query() -> dict[str, str]:
     return {"op1_quality_rules": quality_rules(), "op3_url_filter": url_filter(), "op9_mixing": mix(),
-            "op10_embedding_dedup": near_vectors()}
+            "op10_embedding_dedup": near_vectors(), "op11_hard_negatives": hard_negatives()}

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallybook.llm import bpe, chat, checks, chunks, mixing, pii, pq, repetition, simhash, tokens, urls
+from tallybook.llm import bpe, chat, checks, chunks, mixing, negatives, pii, pq, repetition, simhash, tokens, urls
 from tallybook.llm.common import table
 from tallybook.staging import Stage
 
@@ -57,7 +58,13 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return pq.near_vectors(table(spark, folder, "embeddings", "vec_id", "embedding"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings", "vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_substring_dedup, op3_url_filter, op4_chat, op5_bpe, op6_simhash, op7_token_counts, op8_pii,
-    op9_mixing, op10_embedding_dedup)} | {"pipeline": corpus_pipeline.run}
+    op9_mixing, op10_embedding_dedup, op11_hard_negatives)} | {"pipeline": corpus_pipeline.run}
 ORACLE = checks.sql_by_query()
