@@ -25,6 +25,10 @@ from tallybook.staging import Stage, stage_of
 
 PART, ROW = "_part", "_row"
 _ROW_MASK = (1 << 33) - 1
+#: Stored source bytes for each range part.
+PART_BYTES = 128 << 20
+#: Spark's statistic for a source of unknown size is near 2 ** 63.
+_UNKNOWN_BYTES = 1 << 60
 
 
 @dataclass
@@ -67,6 +71,21 @@ class Ordered:
         return {starts[r[PART]] + r[ROW] + 1: r for r in self.df.filter(wanted).collect()}
 
 
+def source_bytes(df: DataFrame) -> int:
+    """Stored bytes that a plan reads, from the statistics of its leaves; those without any count nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(n for n in sizes if n < _UNKNOWN_BYTES)
+
+
+def ranged(df: DataFrame, order_by: Sequence[Column | str]) -> DataFrame:
+    """``df`` range-partitioned, in more parts than the session's number where the sources are large."""
+    parts = -(-source_bytes(df) // PART_BYTES)
+    if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df.repartitionByRange(parts, *order_by)
+    return df.repartitionByRange(*order_by)  # adaptive execution may merge small ones
+
+
 def lay_out(
     df: DataFrame,
     order_by: Sequence[Column | str],
@@ -76,7 +95,7 @@ def lay_out(
 ) -> Ordered:
     """Write ``df`` range-partitioned and sorted; ``summary`` adds aggregates per part."""
     laid = (
-        df.repartitionByRange(*order_by)
+        ranged(df, order_by)
         .sortWithinPartitions(*order_by)
         .withColumn(PART, F.spark_partition_id())
         .withColumn(ROW, F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK)))
