@@ -1,4 +1,4 @@
-"""DuckDB form of the queries that SQL can express: op1, op3, op9, op10 and op11, written from their contracts.
+"""DuckDB form of the queries that SQL can express: op1, op3, op9, op10, op11 and op13, written from their contracts.
 
 The others have none: XXH64 fingerprints (op6), gear-hash chunks (op2), tokenizers (op5, op7), a trained Markov model
 (op4) and spans chosen by checksum and context (op8).
@@ -6,7 +6,7 @@ The others have none: XXH64 fingerprints (op6), gear-hash chunks (op2), tokenize
 
 from __future__ import annotations
 
-from tallybook.llm import mixing, pq, repetition, urls
+from tallybook.llm import mixing, pq, repetition, tries, urls
 from tallybook.llm.common import WORD
 
 
@@ -151,6 +151,38 @@ WITH good AS (SELECT row_number() OVER () AS r, vec_id,
 SELECT anchor_id, positive_id, CAST(n AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE n <= 3"""
 
 
+def conversation_trie() -> str:
+    """Each member's beginnings as text of digests; a node's ancestors are the shorter beginnings of its smallest member."""
+    key = "md5(CAST(length(r) AS VARCHAR) || ':' || r || x)"
+    steps = "flatten([[ascii(ch), -1, -1, -1, -1, -1, -1, -1, -1] FOR ch IN string_split(CAST(c AS VARCHAR), '')])"
+    shift = "xor(a >> 1, CASE WHEN a & 1 = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END)"
+    ones = "CAST(4294967295 AS BIGINT)"
+    crc = f"xor(list_reduce({steps}, lambda a, s: CASE WHEN s >= 0 THEN xor(a, s) ELSE {shift} END, {ones}), {ones})"
+    return f"""
+WITH filled AS (SELECT conv_id AS c, turn, COALESCE(role, '') AS r, COALESCE(text, '') AS x FROM conversations
+    WHERE conv_id IS NOT NULL),
+  keyed AS (SELECT c, {key} AS k, length(x) AS n,
+      row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, {key}) AS i FROM filled),
+  own AS (SELECT c, MAX(i) AS own FROM keyed GROUP BY c),
+  convs AS (SELECT c, own, {crc} % {tries.HEADS} AS h, c - c % {tries.FAMILY} AS b FROM own),
+  taken AS (SELECT convs.*, LEAST(h, COALESCE(f.own, 0)) AS t FROM convs LEFT JOIN own f ON f.c = b),
+  turns AS (SELECT t.c, k.i AS d, k, n FROM taken t JOIN keyed k ON k.c = t.b AND k.i <= t.t
+    UNION ALL SELECT t.c, t.t + k.i - h, k, n FROM taken t JOIN keyed k ON k.c = t.c AND k.i > h),
+  members AS (SELECT c, d, n, string_agg(k, '') OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING) AS p FROM turns
+    UNION ALL SELECT c, 0, 0, '' FROM convs),
+  nodes AS (SELECT p, MIN(c) AS c, ANY_VALUE(d) AS d, ANY_VALUE(n) AS n, COUNT(*) AS n_convs FROM members GROUP BY p),
+  kids AS (SELECT left(p, 32 * (d - 1)) AS p, COUNT(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+  sums AS (SELECT m.p, COUNT(*) FILTER (n_children IS NULL) AS n_leaves, CAST(SUM((b.n_convs - 1) * b.n) AS BIGINT) AS saved
+    FROM nodes b LEFT JOIN kids USING (p) JOIN members m ON m.c = b.c AND m.d <= b.d GROUP BY m.p),
+  lasts AS (SELECT c, MAX_BY(p, d) AS p FROM members GROUP BY c),
+  ends AS (SELECT p, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS ends FROM lasts GROUP BY p)
+SELECT nodes.c AS conv_id, nodes.d AS depth, up.c AS parent_conv_id, nodes.n_convs, COALESCE(n_children, 0) AS n_children, n_leaves,
+  saved AS saved_tokens, COALESCE(ends, sha256('')) AS ends_sha256
+FROM nodes LEFT JOIN nodes up ON nodes.d > 0 AND up.p = left(nodes.p, 32 * (nodes.d - 1)) LEFT JOIN kids ON kids.p = nodes.p
+JOIN sums ON sums.p = nodes.p LEFT JOIN ends ON ends.p = nodes.p"""
+
+
 def sql_by_query() -> dict[str, str]:
     return {"op1_quality_rules": quality_rules(), "op3_url_filter": url_filter(), "op9_mixing": mix(),
-            "op10_embedding_dedup": near_vectors(), "op11_hard_negatives": hard_negatives()}
+            "op10_embedding_dedup": near_vectors(), "op11_hard_negatives": hard_negatives(),
+            "op13_conversation_trie": conversation_trie()}

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallybook.llm import bpe, chat, checks, chunks, mixing, negatives, pii, pq, quartiles, repetition, simhash, tokens, urls
+from tallybook.llm import bpe, chat, checks, chunks, mixing, negatives, pii, pq, quartiles, repetition, simhash, tokens, tries, urls
 from tallybook.llm.common import table
 from tallybook.staging import Stage
 
@@ -68,7 +68,11 @@ def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return quartiles.edited(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return tries.rebuilt_trie(table(spark, folder, "conversations", "conv_id", "turn", "role", "text"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_substring_dedup, op3_url_filter, op4_chat, op5_bpe, op6_simhash, op7_token_counts, op8_pii,
-    op9_mixing, op10_embedding_dedup, op11_hard_negatives, op12_fingerprints)} | {"pipeline": corpus_pipeline.run}
+    op9_mixing, op10_embedding_dedup, op11_hard_negatives, op12_fingerprints, op13_conversation_trie)} | {"pipeline": corpus_pipeline.run}
 ORACLE = checks.sql_by_query()
