@@ -25,6 +25,8 @@ from tallybook.staging import Stage, stage_of
 
 PART, ROW = "_part", "_row"
 _ROW_MASK = (1 << 33) - 1
+#: Rows of a group that one task orders; larger groups are cut into range parts.
+LARGE_GROUP = 1_000_000
 #: Stored source bytes for each range part.
 PART_BYTES = 128 << 20
 #: Spark's statistic for a source of unknown size is near 2 ** 63.
@@ -158,17 +160,47 @@ def sequence_within(
     first: dict[str, str] | None = None,
     rank: str | None = None,
     stage: Stage | None = None,
+    large: int = LARGE_GROUP,
 ) -> DataFrame:
-    """Per-group row number, previous value and first value, for groups of any size.
+    """Per-group row number, previous value and first value, for groups of any size; groups must not be null.
 
-    Equals ``row_number``/``lag``/``first_value`` over ``(partition by group order by order_by)``.
-    Windows run per (part, group), so no task sees more than one part of a hot group; what a group
-    brings along from earlier parts is carried over as one line per part.
+    Equals ``row_number``/``lag``/``first_value`` over ``(partition by group order by order_by)``. The rows are written once
+    and counted. Groups of up to ``large`` rows go by hash, in one shuffle; larger ones are cut into range parts. ``rank`` is the
+    number in the order of all groups, from 1: what the groups before hold, plus the sequence.
     """
     previous, first = previous or {}, first or {}
+    stage = stage_of(df, stage)
+    stored = stage.table(df, sequence)
+    sizes = stored.groupBy(group).agg(F.count("*").alias("_size"))
+    if rank:
+        sizes = running_totals(stage.table(sizes, "sizes"), [group], {"_upto": "_size"}, stage=stage)
+    huge = stage.table(sizes.filter(F.col("_size") > large).select(group), "large-groups")
+    w = W.partitionBy(group).orderBy(*order_by)
+    columns = [
+        F.row_number().over(w).alias(sequence), *[F.lag(c).over(w).alias(o) for o, c in previous.items()],
+        *[F.first(c).over(w).alias(o) for o, c in first.items()]]
+    if huge.isEmpty():
+        placed = stored.select("*", *columns)
+    else:
+        # Counting and joining by group leave the rows where the window needs them.
+        placed = stored.join(huge, group, "left_anti").select("*", *columns).unionByName(
+            _sequence_of_large(stored.join(huge, group, "left_semi"), group, order_by, sequence, previous, first, stage))
+    if not rank:
+        return placed
+    before = sizes.select(group, (F.col("_upto") - F.col("_size")).alias("_before"))
+    return placed.join(before, group).withColumn(rank, F.col("_before") + F.col(sequence)).select(*placed.columns, rank)
+
+
+def _sequence_of_large(
+    df: DataFrame, group: str, order_by: Sequence[str], sequence: str, previous: dict[str, str], first: dict[str, str], stage: Stage,
+) -> DataFrame:
+    """The same by range parts.
+
+    Windows run per (part, group), so no task sees more than one part of a group; what a group
+    brings along from earlier parts is carried over as one line per part.
+    """
     laid = lay_out(
         df, [group, *order_by], stage, sequence, _low=F.min(group), _high=F.max(group))
-    starts = laid.starts()
     spark = df.sparkSession
 
     spanning = sorted({a["_high"] for a, b in zip(laid.parts, laid.parts[1:]) if a["_high"] == b["_low"]})
@@ -199,14 +231,13 @@ def sequence_within(
     schema = T.StructType(
         [
             T.StructField(PART, T.IntegerType()),
-            T.StructField("_start", T.LongType()),
             T.StructField("_group", dtype[group]),
             T.StructField("_n", T.LongType()),
             *[T.StructField(f"_last_{o}", dtype[c]) for o, c in previous.items()],
             *[T.StructField(f"_first_{o}", dtype[c]) for o, c in first.items()],
         ])
-    blank = (None,) * (len(schema) - 2)
-    lines = [(p[PART], starts[p[PART]], *carried.get(p[PART], blank)) for p in laid.parts]
+    blank = (None,) * (len(schema) - 1)
+    lines = [(p[PART], *carried.get(p[PART], blank)) for p in laid.parts]
     carry = spark.createDataFrame(lines, schema)
 
     joined = laid.df.join(F.broadcast(carry), PART)  # one line per part
@@ -217,6 +248,4 @@ def sequence_within(
         out.append(F.coalesce(F.lag(c).over(w), F.when(continued, F.col(f"_last_{o}"))).alias(o))
     for o, c in first.items():
         out.append(F.when(continued, F.col(f"_first_{o}")).otherwise(F.first(c).over(w)).alias(o))
-    if rank:
-        out.append((F.col("_start") + F.col(ROW) + 1).alias(rank))
     return joined.select(*laid.plain, *out)

@@ -25,8 +25,12 @@ NO_MASTER = {**NO_PROFILE, "signup_date": "2010-01-01", "country": "United Kingd
 
 def build_dim_date(transactions: DataFrame) -> DataFrame:
     """One row per day from the first to the last invoice."""
-    span = transactions.agg(
-        F.min("InvoiceDate").cast("date").alias("low"), F.max("InvoiceDate").cast("date").alias("high"))
+    return calendar_of(transactions.agg(
+        F.min("InvoiceDate").cast("date").alias("low"), F.max("InvoiceDate").cast("date").alias("high")))
+
+
+def calendar_of(span: DataFrame) -> DataFrame:
+    """One row per day from ``low`` to ``high``; no days for nulls."""
     days = span.filter("low is not null").select(
         F.explode(F.sequence("low", "high", F.expr("interval 1 day"))).alias("full_date"))
     return conform(
@@ -40,6 +44,12 @@ def build_dim_customer(
 ) -> DataFrame:
     """Every customer seen in a line or in the master, with defaults for what is unknown."""
     ids = transactions.select("customer_id").filter("customer_id is not null").distinct()
+    filled = customer_profiles(ids, master)
+    return conform(dense_key(filled, ["customer_id"], "customer_key", stage), "dim_customer")
+
+
+def customer_profiles(ids: DataFrame, master: DataFrame | None) -> DataFrame:
+    """Attributes of the given customers (``customer_id``, distinct) and of those in the master."""
     if master is not None and not master.isEmpty():
         known = master.select(
             F.col("customer_id").cast("bigint").alias("customer_id"), "customer_code", "gender", "age_group",
@@ -57,8 +67,7 @@ def build_dim_customer(
          for n, v in defaults.items()})
     filled = filled.withColumn(
         "customer_code", F.coalesce("customer_code", business.customer_code("customer_id")))
-    filled = filled.withColumns({n: F.when(guest, v).otherwise(F.col(n)) for n, v in GUEST_PROFILE.items()})
-    return conform(dense_key(filled, ["customer_id"], "customer_key", stage), "dim_customer")
+    return filled.withColumns({n: F.when(guest, v).otherwise(F.col(n)) for n, v in GUEST_PROFILE.items()})
 
 
 def build_dim_product(transactions: DataFrame, stage: Stage | None = None) -> DataFrame:
@@ -67,31 +76,41 @@ def build_dim_product(transactions: DataFrame, stage: Stage | None = None) -> Da
     Lines collapse to (code, description, price) first: no hot product reaches one task whole, and
     the median works on price counts.
     """
-    variants = transactions.groupBy("StockCode", "Description", "UnitPrice").agg(
+    described = described_products(product_variants(transactions))
+    return conform(dense_key(described, ["stock_code"], "product_key", stage), "dim_product")
+
+
+def product_variants(transactions: DataFrame, *by: str) -> DataFrame:
+    """How often and since when each price and description of a stock code occurs; these add up over batches."""
+    return transactions.groupBy("StockCode", "Description", "UnitPrice", *by).agg(
         F.min("InvoiceDate").alias("seen"), F.count("*").alias("n"))
+
+
+def described_products(variants: DataFrame) -> DataFrame:
+    """Attributes of each stock code."""
     pence = (F.col("UnitPrice") * 100).cast("bigint")
     products = variants.groupBy(F.col("StockCode").alias("stock_code")).agg(
         F.min_by("Description", F.struct("seen", "Description")).alias("description"),
         F.percentile(pence, F.lit(0.5), F.col("n")).alias("median"),
     )
-    described = products.select(
+    return products.select(
         "stock_code",
         "description",
         business.product_category("description").alias("category"),
         (F.floor(F.col("median") + 0.5).cast("decimal(10,0)") * F.lit(0.01).cast("decimal(3,2)"))
         .alias("unit_price_nominal"),
     )
-    return conform(dense_key(described, ["stock_code"], "product_key", stage), "dim_product")
 
 
 def build_dim_geography(transactions: DataFrame, stage: Stage | None = None) -> DataFrame:
     names = transactions.select(F.col("Country").alias("country_name")).filter("country_name is not null").distinct()
-    regions = names.select(
-        "country_name",
-        business.geography_region("country_name").alias("region"),
-        business.market_tier("country_name").alias("market_tier"),
-    )
-    return conform(dense_key(regions, ["country_name"], "geography_key", stage), "dim_geography")
+    return conform(dense_key(regions_of(names), ["country_name"], "geography_key", stage), "dim_geography")
+
+
+def regions_of(names: DataFrame) -> DataFrame:
+    """Region and market tier beside ``country_name``."""
+    return names.withColumns(
+        {"region": business.geography_region("country_name"), "market_tier": business.market_tier("country_name")})
 
 
 def modal_country(raw: DataFrame) -> DataFrame:

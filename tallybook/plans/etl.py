@@ -12,29 +12,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.operators import quality
-from tallybook.operators.cleaning import clean_and_transform, drop_copies
+from tallybook.operators.cleaning import clean_and_transform
+from tallybook.plans import upkeep
 from tallybook.plans.warehouse import Warehouse
-from tallybook.schemas import FULL_BATCH, WAREHOUSE_TABLES, conform
-from tallybook.sources import writers
+from tallybook.schemas import FULL_BATCH, PARTITION_KEYS, WAREHOUSE_TABLES, conform
+from tallybook.sources import versions, writers
 from tallybook.sources.batches import latest_batch, read_monthly
 from tallybook.sources.readers import limit_rows, read_table
 from tallybook.staging import Stage, stage_of
 
 
-def _load(wh: Warehouse, root: str, batch_id: str, source: str, started: float, raw: int, rejected: int) -> dict:
-    """Write the eight tables, the audit row and the samples of a built warehouse."""
-    spark = wh.spark
-    seconds = time.time() - started
-    at = datetime.now(timezone.utc).replace(tzinfo=None)
+def _load(wh: Warehouse, root: str) -> dict[str, int]:
+    """Write the eight tables of a built warehouse beside the old ones, then switch to all of them at once."""
+    base, load = versions.current(wh.spark, root), versions.new_load()
     with ThreadPoolExecutor(len(WAREHOUSE_TABLES)) as pool:
-        counts = dict(zip(WAREHOUSE_TABLES, pool.map(
-            lambda n: writers.write_table(wh.table(n), root, n), WAREHOUSE_TABLES)))
+        written = dict(zip(WAREHOUSE_TABLES, pool.map(
+            lambda n: versions.write(wh.table(n), root, n, load, PARTITION_KEYS.get(n)), WAREHOUSE_TABLES)))
+    # What earlier batch loads kept does not belong to these tables.
+    changed = {n: [] for n in upkeep.STATE} | {n: folders for n, (folders, _) in written.items()}
+    versions.publish(wh.spark, root, base, changed)
+    return {n: rows for n, (_, rows) in written.items()}
+
+
+def _log(
+    spark: SparkSession, root: str, batch_id: str, source: str, started: float, raw: int, rejected: int, counts: dict[str, int]
+) -> None:
+    """The audit row and the samples of a finished load."""
+    at = datetime.now(timezone.utc).replace(tzinfo=None)
     audit = writers.audit_row(
-        spark, batch_id, source, at, raw, counts["fact_sales"], rejected, seconds, counts["fact_sales"],
+        spark, batch_id, source, at, raw, counts["fact_sales"], rejected, time.time() - started, counts["fact_sales"],
         counts["mart_customer_rfm"])
     writers.append_log(audit, root, "etl_audit_log")
     writers.export_samples({n: read_table(spark, root, n) for n in WAREHOUSE_TABLES}, root)
-    return counts
 
 
 def run_full(
@@ -61,7 +70,8 @@ def run_full(
         totals, _ = summary.result(), held.result()
     quarantined = spark.read.schema(rejected.schema).parquet(f"{root}/quarantine").filter(F.col("batch_id") == FULL_BATCH)
     _log_rejects(quarantined, root, [FULL_BATCH])
-    counts = _load(wh, root, FULL_BATCH, source, started, totals["total_records"], totals["rejected_records"])
+    counts = _load(wh, root)
+    _log(spark, root, FULL_BATCH, source, started, totals["total_records"], totals["rejected_records"], counts)
     return {
         "status": "SUCCESS",
         "duration_sec": round(time.time() - started, 2),
@@ -87,20 +97,20 @@ def _log_rejects(quarantined: DataFrame, root: str, batch_ids: Sequence[str]) ->
 def load_batches(
     spark: SparkSession, batches: DataFrame, root: str, batch_ids: Sequence[str] | None = None,
     stage: Stage | None = None,
-) -> None:
+) -> list[str]:
     """Gate and clean delivered batches into ``lines`` and ``quarantine``, both partitioned by delivered batch.
 
     Each delivered batch replaces its own partitions and no others, also when it has no rejects or nothing else, so
     repeating or reordering batches changes nothing and a late line of an older month takes nothing away.
     The delivered files are read once; ``raw_counts`` keeps the raw lines of each batch, so that no later load counts
-    old files again.
+    old files again. Returns the ids of the delivered batches.
     """
     wanted = batches if batch_ids is None else batches.filter(F.col("batch_id").isin(list(batch_ids)))
     gated = stage_of(wanted, stage).table(quality.gate(wanted), "delivered")
     counted = gated.groupBy("batch_id").agg(F.count("*").alias("raw_rows"))
     delivered = sorted({*(batch_ids or ()), *[r[0] for r in counted.select("batch_id").collect()]})
     if not delivered:
-        return
+        return []
     writers.replace_partitions(counted, f"{root}/raw_counts", "batch_id", delivered)
     now = F.current_timestamp().cast("timestamp_ntz")
     rejected = quality.rejected_of(gated, F.col("batch_id"), now)
@@ -109,6 +119,13 @@ def load_batches(
     writers.replace_partitions(clean_and_transform(clean), f"{root}/lines", "batch_id", delivered)
     held = spark.read.schema(rejected.schema).parquet(f"{root}/quarantine").filter(F.col("batch_id").isin(delivered))
     _log_rejects(held, root, delivered)
+    return delivered
+
+
+def _batches_log(spark: SparkSession, root: str, started: float, counts: dict[str, int]) -> None:
+    rejected = spark.read.schema("batch_id string").parquet(f"{root}/quarantine").count()
+    raw = spark.read.schema("raw_rows long, batch_id string").parquet(f"{root}/raw_counts").agg(F.sum("raw_rows")).first()[0]
+    _log(spark, root, "incremental", "batches", started, raw or 0, rejected, counts)
 
 
 def rebuild(
@@ -117,15 +134,11 @@ def rebuild(
     root: str,
     stage: Stage | None = None,
 ) -> dict:
-    """Recompute all dimensions, facts and marts from the loaded lines of every batch."""
+    """Recompute all dimensions, facts and marts from the loaded lines of every batch; the first batch of a line counts."""
     started = time.time()
-    # A line may come in several batches; the first batch counts.
-    lines = drop_copies(spark.read.parquet(f"{root}/lines"), first_by=["batch_id"])
-    wh = Warehouse.from_lines(spark, lines, master, stage)
-    wh.build()
-    rejected = spark.read.schema("batch_id string").parquet(f"{root}/quarantine").count()
-    raw = spark.read.schema("raw_rows long, batch_id string").parquet(f"{root}/raw_counts").agg(F.sum("raw_rows")).first()[0]
-    return _load(wh, root, "incremental", "batches", started, raw or 0, rejected)
+    counts = upkeep.build(spark, root, master, stage)
+    _batches_log(spark, root, started, counts)
+    return counts
 
 
 def run_incremental(
@@ -136,15 +149,21 @@ def run_incremental(
     batch_ids: Sequence[str] | None = None,
     stage: Stage | None = None,
 ) -> dict:
-    """Load batches (all of them, or the named ones) and rebuild from everything loaded so far."""
-    load_batches(spark, batches, root, batch_ids, stage)
-    return rebuild(spark, master, root, stage)
+    """Load batches (all of them, or the named ones) and bring the tables up to date.
+
+    New batches are added at their own cost; one that was loaded before makes the tables be built from all loaded lines.
+    """
+    started = time.time()
+    delivered = load_batches(spark, batches, root, batch_ids, stage)
+    counts = upkeep.refresh(spark, root, delivered, master, stage)
+    _batches_log(spark, root, started, counts)
+    return counts
 
 
 def run_latest(
     spark: SparkSession, folder: str, master: DataFrame | None, root: str, stage: Stage | None = None
 ) -> dict | None:
-    """Load the newest batch that the manifest in ``folder`` names, reading its files only, and rebuild.
+    """Load the newest batch that the manifest in ``folder`` names, reading its files only, and add it to the tables.
 
     An empty manifest loads nothing and gives None.
     """

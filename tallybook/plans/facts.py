@@ -63,17 +63,27 @@ def build_fact_customer_retention(
     transactions: DataFrame, dim_customer: DataFrame, stage: Stage | None = None
 ) -> DataFrame:
     """One row per (customer, invoice, day) with its place in the customer's history."""
-    purchases = registered_purchases(transactions)
-    orders = (
-        purchases.groupBy("customer_id", "InvoiceNo", "date_key")
-        .agg(F.min("InvoiceDate").alias("order_date"), F.sum("total_amount").alias("order_value"))
-    )
-    placed = sequence_within(
+    placed = placed_orders(customer_orders(transactions), stage)
+    return named_retention(placed, dim_customer, registered_purchases(transactions))
+
+
+def customer_orders(transactions: DataFrame, *by: str) -> DataFrame:
+    """Moment and value of each (customer, invoice, day)."""
+    return registered_purchases(transactions).groupBy("customer_id", "InvoiceNo", "date_key", *by).agg(
+        F.min("InvoiceDate").alias("order_date"), F.sum("total_amount").alias("order_value"))
+
+
+def placed_orders(orders: DataFrame, stage: Stage | None = None) -> DataFrame:
+    """Orders with their place in the customer's history, the order before and the first one."""
+    return sequence_within(
         orders, "customer_id", ["order_date", "InvoiceNo", "date_key"], "order_sequence",
         previous={"prior_date": "order_date"}, first={"first_date": "order_date"},
         rank="retention_key", stage=stage)
+
+
+def named_retention(placed: DataFrame, dim_customer: DataFrame, probe: DataFrame | None = None) -> DataFrame:
     customers = dim_customer.select("customer_id", "customer_key")
-    keyed = lookup_join(placed, customers, "customer_id", "left", probe=purchases)
+    keyed = lookup_join(placed, customers, "customer_id", "left", probe=probe)
     retention = keyed.select(
         "retention_key",
         F.coalesce("customer_key", F.lit(1)).alias("customer_key"),

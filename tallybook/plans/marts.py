@@ -18,16 +18,22 @@ from tallybook.staging import Stage, stage_of
 def build_mart_sales_performance(
     fact_sales: DataFrame, dim_date: DataFrame, dim_geography: DataFrame, stage: Stage | None = None
 ) -> DataFrame:
-    """Daily sales per country, cancellations included.
+    """Daily sales per country, cancellations included."""
+    mart = daily_sales(sold_invoices(fact_sales), dim_date, dim_geography)
+    return conform(
+        dense_key(mart, ["date_key", "year_month", "country_name"], "mart_id", stage), "mart_sales_performance")
 
-    Lines collapse to (day, country, invoice, customer) before the distinct counts, which then run
-    on invoices rather than lines.
-    """
-    invoices = fact_sales.groupBy("date_key", "geography_key", "invoice_no", "customer_key").agg(
+
+def sold_invoices(fact_sales: DataFrame, *by: str) -> DataFrame:
+    """Lines collapsed to (day, country, invoice, customer): distinct counts then run on invoices, which add up over batches."""
+    return fact_sales.groupBy("date_key", "geography_key", "invoice_no", "customer_key", *by).agg(
         F.sum("total_amount").alias("amount"),
         F.sum("quantity").alias("units"),
         F.sum(F.col("is_cancelled").cast("int")).alias("cancelled"),
     )
+
+
+def daily_sales(invoices: DataFrame, dim_date: DataFrame, dim_geography: DataFrame) -> DataFrame:
     # Grouping by key before naming is the same as grouping by name: both dimensions are unique.
     daily = invoices.groupBy("date_key", "geography_key").agg(
         F.sum("amount").alias("total_revenue"),
@@ -38,9 +44,7 @@ def build_mart_sales_performance(
     )
     months = dim_date.select("date_key", F.date_format("full_date", "yyyy-MM").alias("year_month"))
     named = daily.join(months, "date_key").join(dim_geography.select("geography_key", "country_name"), "geography_key")
-    mart = named.withColumn("average_order_value", mean_amount("total_revenue", "total_orders"))
-    return conform(
-        dense_key(mart, ["date_key", "year_month", "country_name"], "mart_id", stage), "mart_sales_performance")
+    return named.withColumn("average_order_value", mean_amount("total_revenue", "total_orders"))
 
 
 def quintile_by_rank(value: str, tie_break: str, ranked, column_type) -> Column:
@@ -66,17 +70,25 @@ def build_mart_customer_rfm(
     fact_sales: DataFrame, dim_customer: DataFrame, stage: Stage | None = None
 ) -> DataFrame:
     """Recency, frequency and monetary scores and segment per registered customer."""
-    stage = stage_of(fact_sales, stage)
-    people = dim_customer.select("customer_key", "customer_id", "loyalty_tier")
     # Lines collapse to invoices, then to customers, before the customer lookup.
-    purchases = fact_sales.filter(~F.col("is_cancelled") & (F.col("total_amount") > 0))
-    invoices = purchases.groupBy("customer_key", "invoice_no").agg(
-        F.max("invoice_timestamp").alias("last_ts"), F.sum("total_amount").alias("spend"))
-    customers = invoices.groupBy("customer_key").agg(
+    customers = purchased_invoices(fact_sales).groupBy("customer_key").agg(
         F.max("last_ts").alias("last_ts"),
         F.count("*").alias("frequency"),
         F.sum("spend").cast("decimal(14,2)").alias("monetary_total"),
     )
+    return scored_customers(customers, dim_customer, stage)
+
+
+def purchased_invoices(fact_sales: DataFrame, *by: str) -> DataFrame:
+    purchases = fact_sales.filter(~F.col("is_cancelled") & (F.col("total_amount") > 0))
+    return purchases.groupBy("customer_key", "invoice_no", *by).agg(
+        F.max("invoice_timestamp").alias("last_ts"), F.sum("total_amount").alias("spend"))
+
+
+def scored_customers(customers: DataFrame, dim_customer: DataFrame, stage: Stage | None = None) -> DataFrame:
+    """The mart from one row per customer (``last_ts``, ``frequency``, ``monetary_total``); ties go by customer id."""
+    stage = stage_of(customers, stage)
+    people = dim_customer.select("customer_key", "customer_id", "loyalty_tier")
     registered = customers.join(people, "customer_key").filter(F.col("customer_id") != GUEST_ID)  # one row per key
     base = stage.table(registered, "rfm-base")
 
@@ -86,7 +98,7 @@ def build_mart_customer_rfm(
     quintiles = F.percentile("recency_days", F.array(*[F.lit(p) for p in (0.2, 0.4, 0.6, 0.8)]), F.col("n"))
 
     def by(column: str):
-        return lay_out(base.select(column, "customer_key"), [column, "customer_key"], stage, f"rfm-{column}")
+        return lay_out(base.select(column, "customer_id"), [column, "customer_id"], stage, f"rfm-{column}")
 
     with ThreadPoolExecutor(3) as pool:  # three independent jobs
         recency, frequency, spend = (
@@ -100,8 +112,8 @@ def build_mart_customer_rfm(
     scored = base.withColumns(
         {
             "r_score": recency_score.cast("int"),
-            "f_score": quintile_by_rank("frequency", "customer_key", by_frequency, "bigint"),
-            "m_score": quintile_by_rank("monetary_total", "customer_key", by_spend, "decimal(14,2)"),
+            "f_score": quintile_by_rank("frequency", "customer_id", by_frequency, "bigint"),
+            "m_score": quintile_by_rank("monetary_total", "customer_id", by_spend, "decimal(14,2)"),
         })
     mart = scored.withColumns(
         {

@@ -97,6 +97,9 @@ FOREIGN_KEYS = [
     ("mart_customer_rfm", "customer_key", "dim_customer"),
 ]
 
+# Stored tables that are cut into folders, and the column that says which.
+PARTITION_KEYS = {"fact_sales": "batch_id", "mart_sales_performance": "year_month"}
+
 WAREHOUSE_TABLES = [
     "dim_customer", "dim_product", "dim_geography", "dim_date", "fact_sales",
     "fact_customer_retention", "mart_sales_performance", "mart_customer_rfm",

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.schemas import FULL_BATCH, RAW_COLUMNS, empty_table
+from tallybook.schemas import FULL_BATCH, RAW_COLUMNS, column_types, empty_table
+from tallybook.sources import versions
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -67,6 +68,9 @@ def extract_metadata(df: DataFrame, batch_id: str, source: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A warehouse table, empty with the declared columns when it was never loaded."""
+    """A warehouse table as last published (logs: as stored), empty with the declared columns when it was never loaded."""
+    version = versions.current(spark, root)
+    if table in version.folders:
+        return versions.read(spark, root, table, column_types(table), version)
     path = f"{root.rstrip('/')}/{table}"
     return spark.read.parquet(path) if path_exists(spark, path) else empty_table(spark, table)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.schemas import RAW_COLUMNS, TABLES, UNIQUE_COLUMNS, conform
+from tallybook.schemas import PARTITION_KEYS, RAW_COLUMNS, TABLES, UNIQUE_COLUMNS, conform
+from tallybook.sources import versions
 
 SAMPLE_ROWS = 100
 _LOG_NAMES = {
@@ -85,12 +87,17 @@ def rejection_log(rejected: DataFrame, rows: int | None = None) -> DataFrame:
 
 
 def write_table(df: DataFrame, root: str, table: str, keep_if_empty: bool = False) -> int:
-    """Replace a warehouse table, empty or not, and return its rows; ``keep_if_empty`` leaves the old one for no rows."""
+    """Replace a warehouse table, empty or not, and return its rows; ``keep_if_empty`` leaves the old one for no rows.
+
+    The rows are written beside the old ones, which readers see until the new version is published.
+    """
     if keep_if_empty and df.isEmpty():
         return 0
-    path = f"{root.rstrip('/')}/{table}"
-    conform(df, table).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path).count()
+    spark = df.sparkSession
+    base = versions.current(spark, root)
+    folders, rows = versions.write(conform(df, table), root, table, versions.new_load(), PARTITION_KEYS.get(table))
+    versions.publish(spark, root, base, {table: folders})
+    return rows
 
 
 def audit_row(
@@ -98,7 +105,8 @@ def audit_row(
     seconds: float, sales: int, profiles: int,
 ) -> DataFrame:
     notes = f"Successfully loaded {sales} sales and {profiles} customer RFM profiles."
-    row = (int(at.timestamp()), batch_id, source, at.isoformat(sep=" "), raw, cleaned, rejected, "COMPLETED",
+    number = int(at.timestamp() * 1_000_000) << 10 | secrets.randbits(10)  # loads of one microsecond still differ
+    row = (number, batch_id, source, at.isoformat(sep=" "), raw, cleaned, rejected, "COMPLETED",
            str(round(seconds, 2)), notes)
     names = list(TABLES["etl_audit_log"])
     kinds = ["bigint", "string", "string", "string", "bigint", "bigint", "bigint", "string", "string", "string"]
@@ -111,8 +119,13 @@ def append_log(df: DataFrame, root: str, table: str) -> None:
 
 
 def export_samples(tables: dict[str, DataFrame], root: str, rows: int = SAMPLE_ROWS) -> None:
-    """First rows of every filled table by primary key, as one CSV file each."""
+    """First rows of every filled table by primary key, as one CSV file each.
+
+    Facts are numbered from 1, so a bound on the number reaches the scan.
+    """
     for name, df in tables.items():
-        sample = df.orderBy(UNIQUE_COLUMNS[name][0]).limit(rows)
+        key = UNIQUE_COLUMNS[name][0]
+        first = df.filter(F.col(key) <= rows) if name.startswith("fact_") else df
+        sample = first.orderBy(key).limit(rows)
         if not sample.isEmpty():
             write_csv(sample.coalesce(1), f"{root}/exports/{name}_sample")
