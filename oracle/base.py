@@ -14,16 +14,16 @@ CATEGORIES = [
     ("Toys & Children", "TOY|GAME|DOLL|PUZZLE|CHILD"),
 ]
 REGIONS = [
-    ("Domestic UK", "Tier 1 - Domestic", "United Kingdom|Uk"),
-    ("Western Europe", "Tier 2 - Core Europe", "Germany|France|Eire|Ireland|Netherlands|Belgium|Switzerland|Austria"),
-    ("Southern Europe", "Tier 2 - Core Europe", "Spain|Portugal|Italy|Greece|Cyprus|Malta"),
-    ("Nordics", "Tier 2 - Core Europe", "Norway|Sweden|Finland|Denmark|Iceland"),
-    ("Eastern Europe", "Tier 3 - Extended EU", "Poland|Czech Republic|Lithuania|European Community"),
-    ("North America", "Tier 3 - International", "Usa|United States|Canada"),
-    ("Asia-Pacific", "Tier 3 - International", "Australia|Japan|Singapore|Hong Kong"),
-    ("Middle East", "Tier 3 - International", "United Arab Emirates|Saudi Arabia|Bahrain|Israel|Lebanon"),
-    ("Africa", "Tier 3 - International", "Rsa|South Africa|Nigeria"),
-    ("Latin America", "Tier 3 - International", "Brazil|Argentina"),
+    ("Domestic UK", "Tier 1 - Domestic", ["United Kingdom", "Uk"]),
+    ("Western Europe", "Tier 2 - Core Europe", ["Germany", "France", "Eire", "Ireland", "Netherlands", "Belgium", "Switzerland", "Austria"]),
+    ("Southern Europe", "Tier 2 - Core Europe", ["Spain", "Portugal", "Italy", "Greece", "Cyprus", "Malta"]),
+    ("Nordics", "Tier 2 - Core Europe", ["Norway", "Sweden", "Finland", "Denmark", "Iceland"]),
+    ("Eastern Europe", "Tier 3 - Extended EU", ["Poland", "Czech Republic", "Lithuania", "European Community"]),
+    ("North America", "Tier 3 - International", ["Usa", "United States", "Canada"]),
+    ("Asia-Pacific", "Tier 3 - International", ["Australia", "Japan", "Singapore", "Hong Kong"]),
+    ("Middle East", "Tier 3 - International", ["United Arab Emirates", "Saudi Arabia", "Bahrain", "Israel", "Lebanon"]),
+    ("Africa", "Tier 3 - International", ["Rsa", "South Africa", "Nigeria"]),
+    ("Latin America", "Tier 3 - International", ["Brazil", "Argentina"]),
 ]
 
 
@@ -32,8 +32,8 @@ def category(text: str) -> str:
     return f"CASE {cases} ELSE 'Gifts & Accessories' END"
 
 
-def _in(text: str, names: str) -> str:
-    return f"{text} IN (" + ", ".join(f"'{n}'" for n in names.split("|")) + ")"
+def _in(text: str, names: list[str]) -> str:
+    return f"{text} IN (" + ", ".join(f"'{n}'" for n in names) + ")"
 
 
 def region(country: str) -> str:

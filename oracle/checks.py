@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from oracle import loads
 from oracle.base import category, mean_amount, ratio, region, segment, share, tier, title, with_tables
 
 _RAW = "InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice, CustomerID, Country"
@@ -74,30 +75,45 @@ def _append(more: str, out: str) -> str:
     return f"{head}{joiner}{more.strip()}\n{out.strip()}"
 
 
+# Declared required and unique columns of each table.
+_REQUIRED = {
+    "dim_customer": ["customer_key", "customer_code"],
+    "dim_product": ["product_key"],
+    "dim_geography": ["geography_key"],
+    "dim_date": ["date_key", "year", "quarter", "month", "month_name", "day", "day_of_week", "day_name", "is_weekend"],
+    "fact_sales": ["sales_key", "invoice_no", "customer_key", "product_key", "geography_key", "date_key", "invoice_timestamp",
+                   "quantity", "unit_price", "total_amount"],
+    "fact_customer_retention": ["retention_key", "customer_key", "date_key", "cohort_month", "order_sequence", "order_value",
+                                "is_repeat_customer"],
+    "mart_sales_performance": ["mart_id", "date_key", "year_month", "country_name", "total_revenue", "total_orders",
+                               "total_units_sold", "average_order_value", "unique_customers", "cancelled_orders_count"],
+    "mart_customer_rfm": ["customer_key", "recency_days", "frequency", "monetary_total", "r_score", "f_score", "m_score",
+                          "rfm_score", "customer_segment"],
+    "etl_rejection_log": ["rejection_id", "batch_id", "rejection_reason"],
+    "etl_audit_log": ["audit_id", "batch_id", "source_file", "extraction_timestamp", "raw_row_count", "cleaned_row_count",
+                      "rejected_row_count", "status", "execution_duration_sec"],
+}
+_UNIQUE = {
+    "dim_customer": ["customer_key", "customer_id"], "dim_product": ["product_key", "stock_code"],
+    "dim_geography": ["geography_key", "country_name"], "dim_date": ["date_key", "full_date"], "fact_sales": ["sales_key"],
+    "fact_customer_retention": ["retention_key"], "mart_sales_performance": ["mart_id"],
+    "mart_customer_rfm": ["customer_key", "customer_id"], "etl_rejection_log": ["rejection_id"], "etl_audit_log": ["audit_id"],
+}
+
+
 def _constraints() -> str:
-    tables = {
-        "dim_customer": ("customer_key customer_code", "customer_key customer_id"),
-        "dim_product": ("product_key", "product_key stock_code"),
-        "dim_geography": ("geography_key", "geography_key country_name"),
-        "dim_date": ("date_key year quarter month month_name day day_of_week day_name is_weekend", "date_key full_date"),
-        "fact_sales": ("sales_key invoice_no customer_key product_key geography_key date_key invoice_timestamp "
-                       "quantity unit_price total_amount", "sales_key"),
-        "fact_customer_retention": ("retention_key customer_key date_key cohort_month order_sequence order_value "
-                                    "is_repeat_customer", "retention_key"),
-        "mart_sales_performance": ("mart_id date_key year_month country_name total_revenue total_orders "
-                                   "total_units_sold average_order_value unique_customers cancelled_orders_count",
-                                   "mart_id"),
-        "mart_customer_rfm": ("customer_key recency_days frequency monetary_total r_score f_score m_score rfm_score "
-                              "customer_segment", "customer_key customer_id"),
-    }
-    cte = {"fact_customer_retention": "retention", "mart_sales_performance": "mart_sales", "mart_customer_rfm": "rfm"}
+    cte = {
+        "fact_customer_retention": "retention", "mart_sales_performance": "mart_sales", "mart_customer_rfm": "rfm",
+        "etl_rejection_log": "(SELECT ROW_NUMBER() OVER () AS rejection_id, * FROM rejected)",
+        # The log of one finished load: one row, nothing missing.
+        "etl_audit_log": "(SELECT " + ", ".join(f"1 AS {c}" for c in _REQUIRED["etl_audit_log"]) + ")"}
     parts = []
-    for t, (required, unique) in tables.items():
+    for t, required in _REQUIRED.items():
         src = cte.get(t, t)
-        for c in required.split():
+        for c in required:
             parts.append(f"SELECT '{t}' AS table_name, 'not_null' AS constraint_type, '{c}' AS column_name, "
                          f"COUNT(*) FILTER ({c} IS NULL) AS violations FROM {src}")
-        for c in unique.split():
+        for c in _UNIQUE[t]:
             parts.append(f"SELECT '{t}', 'unique', '{c}', COUNT({c}) - COUNT(DISTINCT {c}) FROM {src}")
     for t, c, parent in [
         ("fact_sales", "customer_key", "dim_customer"), ("fact_sales", "product_key", "dim_product"),
@@ -363,7 +379,7 @@ def sql_by_query() -> dict[str, str]:
     q["confusion_matrix"] = """SELECT CAST(l.label AS INTEGER) AS label, CAST(p.prediction AS INTEGER) AS prediction, COUNT(s.doc_id) AS n
       FROM (VALUES (0), (1)) l(label) CROSS JOIN (VALUES (0), (1)) p(prediction)
       LEFT JOIN label_scores s ON s.label = l.label AND CAST(s.score >= 0.5 AS INTEGER) = p.prediction GROUP BY 1, 2"""
-    out = {name: with_tables(sql) for name, sql in q.items()}
+    out = {name: with_tables(sql) for name, sql in q.items()} | loads.sql_by_query()
 
     more = f"""counts AS ({_CONFUSION}),
   ranked AS (SELECT label, 2 * RANK() OVER (ORDER BY score) + COUNT(*) OVER (PARTITION BY score) - 1 AS r2 FROM label_scores),
@@ -385,6 +401,17 @@ def sql_by_query() -> dict[str, str]:
     more = _QUOTAS + f""",
   learnt AS (SELECT {stats} FROM features f JOIN assigned a ON a.customer_id = f.customer_id WHERE a.split = 'train')"""
     out["scaled_features"] = _append(more, f"SELECT f.customer_id, {scaled} FROM features f, learnt")
+    slots = " UNION ALL ".join(
+        f"SELECT f.customer_id, a.split, '{c}_' || COALESCE(f.{c}, 'nan') AS slot FROM features f JOIN assigned a USING (customer_id)"
+        for c in ("gender", "age_group", "loyalty_tier", "preferred_device", "country"))
+    more = _QUOTAS + f",\n  slots AS ({slots})"
+    out["encoded_categories"] = _append(more, """SELECT customer_id, slot FROM slots
+      WHERE slot IN (SELECT slot FROM slots WHERE split = 'train')""")
+    names = " UNION ALL ".join(f"SELECT '{n}'" for n in [*_NUMERIC, "intercept"])
+    out["logistic_optimality"] = _append(more, f"""SELECT slot, TRUE AS optimal FROM (
+      SELECT DISTINCT slot FROM slots WHERE split = 'train' UNION ALL {names})""")
+    out["tree_replay"] = with_tables("""SELECT model, customer_id, TRUE AS same
+      FROM features, (VALUES ('Random_Forest'), ('Gradient_Boosting')) m(model)""")
     events = "SELECT 'value' AS feature, value, side FROM event_sides"
     shifted = "SELECT 'value' AS feature, CASE WHEN side = 'c' THEN value * 1.5 ELSE value END AS value, side FROM event_sides"
     out["psi"] = _append(_psi(events), "SELECT feature, ROUND(psi, 4) AS psi_score FROM psis")

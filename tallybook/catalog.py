@@ -14,9 +14,9 @@ from pyspark.sql import types as T
 from tallybook.functions import business
 from tallybook.functions.coerce import strip, title_case
 from tallybook.operators import cleaning, constraints, drift, evaluation, quality, split
-from tallybook.plans import dashboard, dims, etl, features, models, reports, scoring
+from tallybook.plans import dashboard, dims, etl, features, models, reports, scoring, upkeep
 from tallybook.plans.warehouse import Warehouse, run_sql
-from tallybook.schemas import FULL_BATCH, LINE_KEYS, WAREHOUSE_TABLES, column_types
+from tallybook.schemas import FULL_BATCH, LINE_KEYS, SOURCE_COLUMNS, WAREHOUSE_TABLES, column_types
 from tallybook.sources import adapter, batches, readers, writers
 from tallybook.streaming import landing
 
@@ -50,9 +50,13 @@ class Workspace(Warehouse):
     def feature_sides(self) -> tuple[DataFrame, DataFrame]:
         return split.fraction_split(self.features, "customer_id", 0.6)
 
+    @cached_property
+    def trained(self) -> models.Training:
+        return models.train_all(self.features, self.stage)
+
     @cached_property
     def training(self) -> tuple[models.ChurnModel, DataFrame]:
-        return models.train_and_select(self.features, self.stage)
+        return self.trained.winner, self.trained.comparison
 
     @cached_property
     def churn_scores(self) -> DataFrame:
@@ -86,6 +90,24 @@ class Workspace(Warehouse):
         etl.run_latest(self.spark, self.months, self.master, root)
         return root
 
+    @cached_property
+    def upkept(self) -> str:
+        """Folder of a warehouse that grew: the older months, then late lines of one of them, then the newest month."""
+        root = f"{self.stage.root}/upkept"
+        ids = sorted(r[0] for r in self.spark.read.json(f"{self.months}/manifest").select("batch_id").collect())
+        whole = batches.read_monthly(self.spark, self.months)
+        late = (F.col("batch_id") == ids[len(ids) // 2]) & F.col("InvoiceNo").endswith("7")
+        older = whole.filter(F.col("batch_id").isin(ids[:-1]))
+        etl.run_incremental(self.spark, older.filter(~F.coalesce(late, F.lit(False))), self.master, root, ids[:-1])
+        etl.run_incremental(self.spark, whole.filter(late).withColumn("batch_id", F.lit(LATE_BATCH)), self.master, root)
+        etl.run_latest(self.spark, self.months, self.master, root)
+        return root
+
+    def upkept_table(self, name: str) -> DataFrame:
+        """A table of that warehouse with natural keys."""
+        tables = {n: readers.read_table(self.spark, self.upkept, n) for n in WAREHOUSE_TABLES}
+        return upkeep.natural(tables, name)
+
     @cached_property
     def loaded_by_stream(self) -> str:
         root = f"{self.stage.root}/stream-load"
@@ -110,6 +132,11 @@ class Workspace(Warehouse):
             sides.filter("side = 'current'").select((F.col("value") * factor).alias("value")))
 
 
+#: Largest component of the gradient that counts as zero; the fit stops by the change of its loss.
+GRADIENT_BOUND = 1e-4
+#: A batch of lines that came late; its id sorts behind those of the months.
+LATE_BATCH = "batch_late"
+
 _workspaces: dict[tuple[str, str], Workspace] = {}
 _lock = threading.Lock()
 
@@ -204,6 +231,15 @@ def _landed_csv(w: Workspace) -> DataFrame:
     return quality.clean_lines(readers.read_batch(w.spark, f"{root}/retail_raw.csv"))
 
 
+def _with_line_breaks(w: Workspace, multi_line: bool) -> DataFrame:
+    """The raw lines, some with a line break in the description, written as CSV and read back."""
+    root = f"{w.stage.root}/broken"
+    text = F.regexp_replace("Description", "^([^ ]*) ", "$1\n")
+    broken = w.raw.withColumn("Description", F.when(F.col("Quantity").endswith("3"), text).otherwise(F.col("Description")))
+    writers.land(broken.drop(*SOURCE_COLUMNS), root, "broken")
+    return readers.read_batch(w.spark, f"{root}/broken.csv", multi_line=multi_line)
+
+
 def _quarantined(w: Workspace) -> DataFrame:
     root = f"{w.stage.root}/quarantined"
     for _ in range(2):  # the second write replaces the first
@@ -233,6 +269,20 @@ def _scaled(w: Workspace) -> DataFrame:
     return scaled.select("customer_id", *[F.round(c, 6).alias(c) for c in features.NUMERIC_FEATURES])
 
 
+def _gradient(w: Workspace) -> DataFrame:
+    """Whether each component of the gradient is zero, but for the bound at which the fit may stop."""
+    return models.logistic_gradient(w.trained).select("slot", (F.abs("gradient") < GRADIENT_BOUND).alias("optimal"))
+
+
+def _replayed(w: Workspace) -> DataFrame:
+    """Whether each customer's score comes out alike from the model and from its nodes."""
+    found = [
+        models.replayed_scores(w.trained, name, f"{w.stage.root}/nodes-{name}").select(
+            F.lit(name).alias("model"), "customer_id", (F.abs(F.col("probability") - F.col("replayed")) < 1e-12).alias("same"))
+        for name in ("Random_Forest", "Gradient_Boosting")]
+    return found[0].unionAll(found[1])
+
+
 def _reloaded_scores(w: Workspace) -> DataFrame:
     accepted, _ = scoring.validate_scoring_input(w.features)
     return scoring.score_customers(w.reloaded_model, accepted)
@@ -283,11 +333,18 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "latest_batch_lines": lambda w: w.spark.read.parquet(f"{w.loaded_latest}/lines"),
     "batch_raw_counts": lambda w: w.spark.read.schema("raw_rows long, batch_id string").parquet(
         f"{w.loaded_by_month}/raw_counts"),
+    # a warehouse kept up to date batch by batch
+    **{f"upkept_{name}": (lambda w, name=name: w.upkept_table(name)) for name in WAREHOUSE_TABLES},
+    "customers_by_month": lambda w: upkeep.customers_between(w.spark, w.upkept, 0, 99991231, "year_month"),
+    "customers_in_range": lambda w: upkeep.customers_between(w.spark, w.upkept, 19930315, 19960210),
+    "csv_line_breaks": lambda w: quality.clean_lines(_with_line_breaks(w, True)),
+    "csv_broken_records": lambda w: quality.summary_of(quality.gate(_with_line_breaks(w, False)), FULL_BATCH),
     "sql_western_europe": _sql,
     # star schema and marts
     **{name: (lambda w, name=name: w.table(name)) for name in WAREHOUSE_TABLES},
     "table_row_counts": lambda w: reports.table_row_counts(_tables(w)),
-    "constraint_audit": lambda w: constraints.constraint_audit(_tables(w)),
+    "constraint_audit": lambda w: constraints.constraint_audit(
+        _tables(w) | {n: readers.read_table(w.spark, w.loaded, n) for n in ("etl_audit_log", "etl_rejection_log")}),
     # business queries
     "q1_monthly_revenue": lambda w: reports.monthly_revenue(w.fact_sales, w.dim_date),
     "q2_top_products": lambda w: reports.top_products(w.fact_sales, w.dim_product),
@@ -335,6 +392,9 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
         drift.feature_drift(*w.feature_sides, features.NUMERIC_FEATURES, w.stage)),
     "scoring_input_validate": lambda w: scoring.check_scoring_input(adapter.scoring_requests(w.features)),
     "scaled_features": _scaled,
+    "encoded_categories": lambda w: models.encoded_categories(w.trained),
+    "logistic_optimality": _gradient,
+    "tree_replay": _replayed,
     "model_comparison": lambda w: w.training[1],
     "model_info": lambda w: models.model_info(w.spark, w.training[0]),
     "churn_scores": lambda w: w.churn_scores,

@@ -183,7 +183,7 @@ def sequence_within(
         placed = stored.select("*", *columns)
     else:
         # Counting and joining by group leave the rows where the window needs them.
-        placed = stored.join(huge, group, "left_anti").select("*", *columns).unionByName(
+        placed = stored.join(huge, group, "left_anti").select(*stored.columns, *columns).unionByName(
             _sequence_of_large(stored.join(huge, group, "left_semi"), group, order_by, sequence, previous, first, stage))
     if not rank:
         return placed

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.coerce import col, is_blank, starts_with_c, to_moment, to_number
 from tallybook.functions.money import ratio
-from tallybook.schemas import MAX_PRICE, MAX_QUANTITY, RAW_COLUMNS, REJECT_COLUMNS, SOURCE_COLUMNS
+from tallybook.schemas import BROKEN_RECORD, MAX_PRICE, MAX_QUANTITY, RAW_COLUMNS, REJECT_COLUMNS, SOURCE_COLUMNS
 
 REASON = "rejection_reason"
 
@@ -22,8 +22,17 @@ REASONS = [
 ]
 
 
-def rejection_reason() -> Column:
-    """Reason of the first rule a line breaks, null for a clean line."""
+#: Reason of our own for records that a quoted line break cut; only CSV sources have them.
+BROKEN_REASON = "BROKEN_CSV_RECORD"
+
+
+def reasons_of(df: DataFrame) -> list[str]:
+    """Reasons that lines of a source can have, in order of precedence."""
+    return [*([BROKEN_REASON] if BROKEN_RECORD in df.columns else []), *REASONS]
+
+
+def rejection_reason(broken: Column | None = None) -> Column:
+    """Reason of the first rule a line breaks, null for a clean line; ``broken`` is the text of a record cut in two."""
     price, quantity = to_number("UnitPrice"), to_number("Quantity")
     # Only a cancellation may carry a negative quantity.
     size = F.when(starts_with_c("InvoiceNo"), F.abs(quantity)).otherwise(quantity)
@@ -34,14 +43,14 @@ def rejection_reason() -> Column:
         (size > 0) & (size <= MAX_QUANTITY),
         to_moment("InvoiceDate").isNotNull(),
     ]
-    chain = F
+    chain = F if broken is None else F.when(broken.isNotNull(), BROKEN_REASON)
     for passed, reason in zip(good, REASONS):
         chain = chain.when(~F.coalesce(passed, F.lit(False)), reason)
     return chain.otherwise(None)
 
 
 def gate(raw: DataFrame) -> DataFrame:
-    return raw.withColumn(REASON, rejection_reason())
+    return raw.withColumn(REASON, rejection_reason(F.col(BROKEN_RECORD) if BROKEN_RECORD in raw.columns else None))
 
 
 def clean_lines(raw: DataFrame) -> DataFrame:
@@ -66,7 +75,7 @@ def summary_of(gated: DataFrame, batch_id: str) -> DataFrame:
     counted = gated.agg(
         total.alias("total_records"),
         valid.alias("valid_records"),
-        *[F.count_if(col(REASON) == r).alias(r.lower()) for r in REASONS],
+        *[F.count_if(col(REASON) == r).alias(r.lower()) for r in reasons_of(gated)],
     )
     return counted.select(
         F.lit(batch_id).alias("batch_id"),
@@ -74,7 +83,7 @@ def summary_of(gated: DataFrame, batch_id: str) -> DataFrame:
         "valid_records",
         (col("total_records") - col("valid_records")).alias("rejected_records"),
         ratio(col("valid_records") * 100, "total_records", 2).alias("pass_rate_pct"),
-        *[r.lower() for r in REASONS],
+        *[r.lower() for r in reasons_of(gated)],
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.functions.business import MODEL_VERSION
+from tallybook.operators import trees
 from tallybook.operators.evaluation import evaluate
 from tallybook.operators.split import stratified_split
 from tallybook.plans.features import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
@@ -99,11 +101,25 @@ def classifiers(train_rows: int) -> dict:
     }
 
 
-def train_and_select(features: DataFrame, stage: Stage | None = None) -> tuple[ChurnModel, DataFrame]:
-    """Fit every classifier, measure it on the test rows and keep the best.
+class Training(NamedTuple):
+    """All classifiers in training order, their comparison, and what they learnt from (features as a vector, by split)."""
 
-    Returns the winner and the comparison table (one row per model, in training order).
-    """
+    models: dict[str, ChurnModel]
+    comparison: DataFrame
+    matrix: DataFrame
+    train_rows: int
+
+    @property
+    def winner(self) -> ChurnModel:
+        return max(self.models.values(), key=combined_score)  # the first of equals
+
+
+def combined_score(model: ChurnModel) -> float:
+    return AUC_WEIGHT * model.metrics["roc_auc"] + F1_WEIGHT * model.metrics["f1_score"]
+
+
+def train_all(features: DataFrame, stage: Stage | None = None) -> Training:
+    """Fit every classifier and measure it on the test rows."""
     stage = stage_of(features, stage)
     rows = stage.table(stratified_split(features, LABEL, "customer_id", stage=stage), "split-features")
     sizes = {r["split"]: r["n"] for r in rows.groupBy("split").agg(F.count("*").alias("n")).collect()}
@@ -112,7 +128,7 @@ def train_and_select(features: DataFrame, stage: Stage | None = None) -> tuple[C
         preprocessor.transform(rows).select("customer_id", "split", LABEL, "features"), "model-matrix")
     train, test = ready.filter("split = 'train'"), ready.filter("split = 'test'")
 
-    results, best = [], None
+    results, fits = [], {}
     for position, (name, estimator) in enumerate(classifiers(sizes.get("train", 0)).items()):
         fitted = Pipeline(stages=[estimator]).fit(train)
         scored = fitted.transform(test).select(
@@ -121,22 +137,68 @@ def train_and_select(features: DataFrame, stage: Stage | None = None) -> tuple[C
         scored = stage.table(scored, f"scored-{position}")
         found = evaluate(scored, prediction="prediction", stage=stage).first()
         metrics = {m: float(found[m]) for m in METRICS}
-        combined = AUC_WEIGHT * metrics["roc_auc"] + F1_WEIGHT * metrics["f1_score"]
-        results.append((position, name, json.dumps(PARAMS[name]), *metrics.values(), combined))
-        if best is None or combined > best[0]:
-            best = (combined, ChurnModel(name, preprocessor, fitted, names, metrics))
+        fits[name] = ChurnModel(name, preprocessor, fitted, names, metrics)
+        results.append((position, name, json.dumps(PARAMS[name]), *metrics.values(), combined_score(fits[name])))
 
     schema = "position int, model string, params string, " + ", ".join(f"{m} double" for m in METRICS)
     table = features.sparkSession.createDataFrame(results, schema + ", combined_score double")
+    made = Training(fits, table, ready, sizes.get("train", 0))
     table = table.withColumns(
         {
-            "is_winner": F.col("model") == best[1].name,
+            "is_winner": F.col("model") == made.winner.name,
             "train_samples": F.lit(sizes.get("train", 0)),
             "val_samples": F.lit(sizes.get("val", 0)),
             "test_samples": F.lit(sizes.get("test", 0)),
             "feature_count": F.lit(len(names)),
         }).orderBy("position")
-    return best[1], table
+    return made._replace(comparison=table)
+
+
+def train_and_select(features: DataFrame, stage: Stage | None = None) -> tuple[ChurnModel, DataFrame]:
+    """The best classifier and the comparison table (one row per model, in training order)."""
+    made = train_all(features, stage)
+    return made.winner, made.comparison
+
+
+def encoded_categories(training: Training) -> DataFrame:
+    """Category slots that are set, a row each: ``customer_id`` and ``slot``."""
+    names = next(iter(training.models.values())).feature_names
+    slots = F.array(*[F.lit(n) for n in names])
+    set_ = training.matrix.select("customer_id", F.posexplode(vector_to_array("features")).alias("at", "value"))
+    first = len(NUMERIC_FEATURES)
+    return set_.filter((F.col("at") >= first) & (F.col("value") == 1)).select(
+        "customer_id", F.element_at(slots, F.col("at") + 1).alias("slot"))
+
+
+def logistic_gradient(training: Training) -> DataFrame:
+    """The penalised gradient at the fitted coefficients, a row each; zero at the optimum.
+
+    The objective is the mean log loss over the training rows plus half the penalty times the squared coefficients, the
+    intercept left out.
+    """
+    model = training.models["Logistic_Regression"]
+    fitted = model.classifier.stages[-1]
+    weights = [float(w) for w in fitted.coefficients]
+    rows = training.matrix.filter("split = 'train'").select(
+        F.col(LABEL).alias("label"), F.concat(vector_to_array("features"), F.array(F.lit(1.0))).alias("x"))
+    beta = F.array(*[F.lit(w) for w in [*weights, float(fitted.intercept)]])
+    margin = F.aggregate(F.zip_with("x", beta, lambda x, w: x * w), F.lit(0.0), lambda a, x: a + x)
+    loss = rows.select((1 / (1 + F.exp(-margin)) - F.col("label")).alias("error"), F.posexplode("x").alias("at", "value"))
+    mean = loss.groupBy("at").agg((F.sum(F.col("error") * F.col("value")) / F.lit(float(training.train_rows))).alias("mean"))
+    penalty = F.element_at(F.array(*[F.lit(w * fitted.getRegParam()) for w in weights], F.lit(0.0)), F.col("at") + 1)
+    names = F.array(*[F.lit(n) for n in [*model.feature_names, "intercept"]])
+    return mean.select(F.element_at(names, F.col("at") + 1).alias("slot"), (F.col("mean") + penalty).alias("gradient"))
+
+
+def replayed_scores(training: Training, name: str, folder: str) -> DataFrame:
+    """``customer_id``, ``probability`` by the model, and ``replayed`` by its node table, for all customers."""
+    spark = training.matrix.sparkSession
+    fitted = training.models[name].classifier
+    nodes = trees.node_table(spark, fitted.stages[-1], folder)
+    rows = training.matrix.select("customer_id", vector_to_array("features").alias("x"))
+    again = trees.replayed(nodes, fitted.stages[-1], rows, "customer_id", "x").withColumnRenamed("probability", "replayed")
+    scores = fitted.transform(training.matrix).select("customer_id", vector_to_array("probability")[1].alias("probability"))
+    return scores.join(again, "customer_id")
 
 
 def model_info(spark: SparkSession, model: ChurnModel) -> DataFrame:

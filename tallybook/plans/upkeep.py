@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybook.operators.bitmaps import bitmaps_of, distinct_keys
 from tallybook.operators.cleaning import drop_copies
 from tallybook.operators.joins import fits_broadcast, lookup_join
 from tallybook.operators.ordering import dense_key, lay_out
@@ -39,12 +40,13 @@ STATE: dict[str, dict[str, str]] = {
         cancelled="bigint", batch_id="string"),
     "purchased_invoices": dict(customer_key="bigint", invoice_no="string"),
     "customer_totals": dict(customer_key="bigint", last_ts="timestamp_ntz", frequency="bigint", monetary_total=_MONEY),
+    "customer_days": dict(date_key="int", bucket="bigint", bits="binary", batch_id="string"),
     "orders": dict(customer_id="bigint", InvoiceNo="string", date_key="int", order_date="timestamp_ntz", order_value=_MONEY),
     "customer_orders": dict(
         customer_id="bigint", orders="bigint", first_date="timestamp_ntz",
         last="struct<order_date:timestamp_ntz,InvoiceNo:string,date_key:int>"),
 }
-_PARTITIONS = {**PARTITION_KEYS, "sold_invoices": "batch_id"}
+_PARTITIONS = {**PARTITION_KEYS, "sold_invoices": "batch_id", "customer_days": "batch_id"}
 _LINES = ("InvoiceNo string, StockCode string, Description string, Country string, InvoiceDate timestamp_ntz, Quantity int, "
           "UnitPrice decimal(10,2), customer_id bigint, date_key int, total_amount decimal(12,2), is_cancelled boolean, "
           "batch_id string")
@@ -248,11 +250,23 @@ def add(
         ranked, load.new("customer_keys"), load.new("product_keys"), load.new("geography_keys"), stage)
     fact = load.append("fact_sales", fact)
     cells = load.append("sold_invoices", marts.sold_invoices(fact, "batch_id"))
+    load.append("customer_days", bitmaps_of(fact, "customer_key", "date_key", "batch_id"))
     together(lambda: _sales_mart(load, cells, ids, older), lambda: _customer_mart(load, fact), lambda: _retention(load, lines))
     versions.publish(spark, root, base, load.changed)
     return {n: load.new(n).count() for n in WAREHOUSE_TABLES}  # from the files' footers
 
 
+def customers_between(spark: SparkSession, root: str, first: int, last: int, *by: str) -> DataFrame:
+    """Distinct customers (the guest counts as one) with lines from day ``first`` to ``last``, from the stored bitmaps.
+
+    ``by`` may name ``date_key`` or ``year_month``; days and batches merge exactly.
+    """
+    days = read(spark, root, "customer_days").filter(F.col("date_key").between(first, last))
+    month = F.concat_ws("-", F.lpad((F.col("date_key") / 10000).cast("int").cast("string"), 4, "0"), F.substring(
+        F.col("date_key").cast("string"), 5, 2))
+    return distinct_keys(days.withColumn("year_month", month), "customers", *by)
+
+
 def refresh(
     spark: SparkSession, root: str, ids: Sequence[str], master: DataFrame | None, stage: Stage | None = None,
 ) -> dict[str, int]:

@@ -23,6 +23,9 @@ SALES_ORDER = ["InvoiceDate", "InvoiceNo", "StockCode", "Quantity", "UnitPrice"]
 # Place of a line in its file, when the source can tell; the first of several copies is the one kept.
 SOURCE_COLUMNS = ["_source_file", "_source_row"]
 
+# Text of a CSV record that does not have as many values as columns; null for whole ones.
+BROKEN_RECORD = "_broken_record"
+
 REJECT_COLUMNS = [
     "batch_id", "InvoiceNo", "StockCode", "Description", "Quantity",
     "UnitPrice", "CustomerID", "Country", "rejection_reason", "logged_at",

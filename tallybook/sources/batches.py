@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.coerce import to_moment
 from tallybook.schemas import RAW_SCHEMA
+from tallybook.sources.readers import csv_reader, with_broken_ends
 from tallybook.sources.writers import write_csv
 
 
@@ -60,9 +61,10 @@ def export_monthly(raw: DataFrame, folder: str) -> DataFrame:
     return spark.read.json(f"{folder}/manifest")
 
 
-def read_monthly(spark: SparkSession, folder: str, batch_ids: list[str] | None = None) -> DataFrame:
-    """Exported batches; a list of ids prunes to their folders."""
-    schema = RAW_SCHEMA.fields
-    ddl = ", ".join(f"{f.name} string" for f in schema) + ", batch_id string"
-    df = spark.read.schema(ddl).option("header", True).option("escape", '"').csv(f"{folder}/batches")
+def read_monthly(
+    spark: SparkSession, folder: str, batch_ids: list[str] | None = None, multi_line: bool = False
+) -> DataFrame:
+    """Exported batches; a list of ids prunes to their folders. Broken records are marked as in ``read_batch``."""
+    columns = [f.name for f in RAW_SCHEMA.fields]
+    df = with_broken_ends(csv_reader(spark, [*columns, "batch_id"], multi_line).csv(f"{folder}/batches"), columns[-1])
     return df if batch_ids is None else df.filter(F.col("batch_id").isin(batch_ids))

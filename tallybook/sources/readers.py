@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallybook.schemas import FULL_BATCH, RAW_COLUMNS, column_types, empty_table
+from tallybook.schemas import BROKEN_RECORD, FULL_BATCH, RAW_COLUMNS, column_types, empty_table
 from tallybook.sources import versions
 
 
@@ -21,16 +22,35 @@ def require_columns(df: DataFrame) -> DataFrame:
     return df
 
 
-def read_batch(spark: SparkSession, path: str, with_source: bool = False) -> DataFrame:
+def csv_reader(spark: SparkSession, columns: list[str], multi_line: bool = False) -> DataFrameReader:
+    """Reader of delivered CSV: text columns, and the text of records that do not have as many values as there are columns.
+
+    A record is a line, so that files can be split; ``multi_line`` reads quoted line breaks, a file in one task.
+    """
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, BROKEN_RECORD]])
+    reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multi_line)
+    # Values are only counted if none are skipped.
+    return reader.option("columnNameOfCorruptRecord", BROKEN_RECORD).option("columnPruning", False)
+
+
+def with_broken_ends(df: DataFrame, last: str) -> DataFrame:
+    """Also mark records that end inside a quoted value: the last one begins with a quote that nothing closes."""
+    open_end = F.col(last).startswith('"') & (F.regexp_count(last, F.lit('"')) % 2 == 1)
+    return df.withColumn(BROKEN_RECORD, F.coalesce(BROKEN_RECORD, F.when(open_end, F.col(last))))
+
+
+def read_batch(spark: SparkSession, path: str, with_source: bool = False, multi_line: bool = False) -> DataFrame:
     """Parquet (also a folder of it) or CSV/TXT with a header, by suffix.
 
     Text columns stay text; the gate parses. ``with_source`` adds file and row so that the first of
-    several copies is the first in the file (Parquet only: text files have no row numbers).
+    several copies is the first in the file (Parquet only: text files have no row numbers). CSV records cut by a quoted line
+    break carry their text in ``_broken_record``, and the gate rejects them, unless ``multi_line`` reads them whole.
     """
     name = path.rstrip("/").lower()
     if name.endswith((".csv", ".txt")):
         # The header decides the columns, so a file with columns in another order reads right.
-        df = spark.read.option("header", True).option("escape", '"').option("multiLine", False).csv(path)
+        columns = spark.read.option("header", True).option("escape", '"').csv(path).columns
+        df = with_broken_ends(csv_reader(spark, columns, multi_line).csv(path), columns[-1])
     elif name.endswith(".parquet") or "." not in name.rsplit("/", 1)[-1]:
         df = spark.read.parquet(path)
         if with_source:

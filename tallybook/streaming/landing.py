@@ -11,7 +11,8 @@ from tallybook.sources.batches import read_monthly
 
 
 def load_arriving_batches(
-    spark: SparkSession, folder: str, root: str, checkpoint: str, files_per_trigger: int | None = None
+    spark: SparkSession, folder: str, root: str, checkpoint: str, files_per_trigger: int | None = None,
+    multi_line: bool = False,
 ) -> StreamingQuery:
     """Load what is new below ``folder/batches`` and stop.
 
@@ -27,7 +28,7 @@ def load_arriving_batches(
     def load(new: DataFrame, _: int) -> None:
         months = [r[0] for r in new.select("batch_id").distinct().collect()]  # months in one trigger
         if months:
-            load_batches(spark, read_monthly(spark, folder, months), root)
+            load_batches(spark, read_monthly(spark, folder, months, multi_line), root)
 
     return (
         arriving.writeStream.foreachBatch(load)

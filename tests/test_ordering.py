@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from tallybook.operators import ordering
 from tallybook.operators.ordering import dense_key, lay_out, running_totals, sequence_within
 
 
@@ -49,9 +50,11 @@ def test_running_totals(rows):
     assert same(ours, plain)
 
 
-def test_sequence_within_hot_group(rows):
+@pytest.mark.parametrize("large", [10_000, 500, 100, 0])
+def test_sequence_within_hot_group(rows, large):
+    """All groups by hash, only the hot one by range parts, some, and all of them."""
     ours = sequence_within(
-        rows, "g", ["v", "id"], "n", previous={"before": "m"}, first={"head": "id"}, rank="k")
+        rows, "g", ["v", "id"], "n", previous={"before": "m"}, first={"head": "id"}, rank="k", large=large)
     w = W.partitionBy("g").orderBy("v", "id")
     plain = rows.withColumns({
         "n": F.row_number().over(w), "before": F.lag("m").over(w), "head": F.first("id").over(w),
@@ -59,6 +62,27 @@ def test_sequence_within_hot_group(rows):
     assert same(ours, plain)
 
 
+def exchanges(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return [line for line in plan.splitlines() if "Exchange" in line and "BroadcastExchange" not in line]
+
+
+def test_sequence_takes_one_shuffle(rows):
+    ours = sequence_within(rows, "g", ["v", "id"], "n", previous={"before": "m"}, first={"head": "id"})
+    assert len(exchanges(ours)) == 1
+
+
+def test_part_count_follows_the_sources(spark, tmp_path, monkeypatch):
+    spark.range(0, 200_000).selectExpr("id", "md5(cast(id as string)) as mark").write.parquet(f"{tmp_path}/t")
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    size = ordering.source_bytes(stored)
+    assert size > 1_000_000 and ordering.source_bytes(stored.unionAll(stored)) >= 2 * size
+    assert ordering.source_bytes(spark.createDataFrame([(1,)], "id long")) < 1000
+    monkeypatch.setattr(ordering, "PART_BYTES", size // 20)
+    assert ordering.ranged(stored, ["id"]).rdd.getNumPartitions() >= 20
+
+
 def test_empty(many_parts):
     none = many_parts.range(0).select("id", F.col("id").alias("g"))
     assert dense_key(none, ["id"], "k").count() == 0
