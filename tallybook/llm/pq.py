@@ -2,11 +2,12 @@
 
 Equal vectors are one node with a count, so copies cost nothing. Coarse centroids split the nodes into lists; a
 node's residual to its centroid is stored as one code per subspace, with the length of what the codes miss. A query
-probes its own list and every list whose border with it is at most ``MARGIN`` away. In a list, asymmetric distances
+probes its own list and every list whose border with it is at most half a link's greatest length away: of the two ends of a
+link, one is then found from the other. In a list, asymmetric distances
 come from a table per query; a pair is dropped only if its table distance exceeds the wanted one by more than the
 stored miss, which loses nothing, and the rest are reranked by exact cosine in double precision.
 
-Centroids and codebooks are fitted on at most ``SAMPLE`` nodes (those with the least digests); every node is indexed.
+Vectors of each length have an index of their own. Centroids and codebooks are fitted on at most ``SAMPLE`` nodes (those with the least digests); every node is indexed.
 Lists and their queries are cut into blocks, so a crowded list spreads over tasks. A task returns link counts
 and one edge a node, never the pairs.
 """
@@ -27,8 +28,6 @@ COSINE = 0.95
 SAMPLE = 32_768
 LIST_SIZE, MAX_LISTS = 256, 2_048
 SUBSPACES, CODES = 8, 256
-#: How far beyond a list's border a query still probes; links are at most 0.32 long, of which little points across.
-MARGIN = 0.16
 ENTRIES, QUERIES = 1_024, 4_096
 _NODE = "node long, copies long, unit binary, list int, probes array<int>"
 
@@ -63,14 +62,19 @@ def fit(sample: np.ndarray, lists: int) -> Model:
     return Model(centroids, [_means(rest[:, c], CODES) for c in columns], columns)
 
 
-def _units(vectors: list, size: int) -> list[bytes | None]:
+def margin(least: float) -> float:
+    """How far beyond a list's border a query still probes, so that one end of each link at ``least`` finds the other."""
+    return float(np.sqrt(max(0.0, 2 - 2 * least))) / 2 + 1e-6
+
+
+def _units(vectors: list) -> list[bytes | None]:
     """Unit vectors as bytes; None for what links with nothing."""
     out = []
     for v in vectors:
         unit = None
-        if v is not None and len(v) == size and None not in v:
+        if v and None not in v:
             x = np.array(v, dtype=np.float64)
-            peak = np.abs(x).max() if size else 0.0
+            peak = np.abs(x).max()
             if np.isfinite(x).all() and peak > 0:
                 x = x / peak
                 unit = (x / np.sqrt(x @ x) + 0.0).tobytes()
@@ -78,14 +82,14 @@ def _units(vectors: list, size: int) -> list[bytes | None]:
     return out
 
 
-def _index(model: Model, units: np.ndarray):
+def _index(model: Model, units: np.ndarray, beyond: float):
     """List, probes, codes and the length of what the codes miss, of each vector."""
     far = _distances(units, model.centroids)
     own = far.argmin(1)
     gaps = np.sqrt(_distances(model.centroids, model.centroids))[own]
     border = (far - far[np.arange(len(own)), own][:, None]) / (2 * np.maximum(gaps, 1e-12))
     border[np.arange(len(own)), own] = 0
-    probes = [np.flatnonzero(b <= MARGIN) for b in border]
+    probes = [np.flatnonzero(b <= beyond) for b in border]
     rest = units - model.centroids[own]
     codes = np.stack([_distances(rest[:, c], b).argmin(1) for c, b in zip(model.columns, model.books)], 1).astype(np.uint8)
     told = np.concatenate([b[codes[:, i]] for i, b in enumerate(model.books)], 1)
@@ -160,23 +164,16 @@ def near_vectors(
 ) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` for every row.
 
-    Vectors that are null, zero, or hold null or non-finite components link with nothing, nor do those of another length
-    than most have. Equal vectors link, also under one repeated id. A null id is no ``component_id`` unless a whole
+    Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, nor do vectors of different
+    lengths with one another. Equal vectors link, also under one repeated id. A null id is no ``component_id`` unless a whole
     component has only null ids. No rows give no rows. Other columns are not carried, so their names cannot clash.
     """
     spark = vectors.sparkSession
     stage = stage or Stage(spark)
     rows = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(column).cast("array<double>").alias("v"))
-    common = rows.filter("v is not null").groupBy(F.size("v").alias("size")).count().orderBy(
-        F.desc("count"), "size").first()
-    if common is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
-                           F.lit(True).alias("kept"))
-    size = common["size"]
-
     def normalise(batches):
         for batch in batches:
-            units = pa.array(_units(batch.column("v").to_pylist(), size), pa.binary())
+            units = pa.array(_units(batch.column("v").to_pylist()), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), units], ["vec_id", "unit"])
 
     units = stage.table(
@@ -184,13 +181,13 @@ def near_vectors(
     grouped = units.filter("key is not null").groupBy("key").agg(
         F.count("*").alias("copies"), F.min("vec_id").alias("first_id"), F.first("unit").alias("unit"))
     nodes = stage.table(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    total = nodes.count()
-    if total:
-        edges, counts = _all_links(nodes, total, size, least, stage)
-        parts = stage.table(components(edges, stage), "components")
-    else:
-        counts = spark.createDataFrame([], "node long, links long")
-        parts = spark.createDataFrame([], "node long, component long")
+    edges, counts = (spark.createDataFrame([], f"{a} long, {b} long") for a, b in (("u", "v"), ("node", "links")))
+    length = (F.octet_length("unit") / 8).cast("int")
+    sizes = nodes.groupBy(length.alias("size")).agg(F.count("*").alias("n")).filter("n > 1").orderBy("size").collect()
+    for size, total in sizes:  # a row for each length of vectors
+        found = _all_links(nodes.filter(length == size), total, size, least, stage)
+        edges, counts = edges.unionAll(found[0]), counts.unionAll(found[1])
+    parts = stage.table(components(edges, stage), "components")
     named = nodes.select("key", "node", "copies", "first_id").join(counts, "node", "left").join(parts, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     smallest = stage.table(named.groupBy("component").agg(F.min("first_id").alias("component_id")), "smallest")
@@ -215,7 +212,7 @@ def _all_links(nodes: DataFrame, total: int, size: int, least: float, stage: Sta
             for lo in range(0, batch.num_rows, 2048):
                 part = batch.slice(lo, 2048)
                 own, probes, codes, missed = _index(
-                    Model(*model.value), np.frombuffer(b"".join(part.column("unit").to_pylist())).reshape(-1, size))
+                    Model(*model.value), np.frombuffer(b"".join(part.column("unit").to_pylist())).reshape(-1, size), margin(least))
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(c) for c in ("node", "copies", "unit")], pa.array(own, pa.int32()),
                      pa.array([p.tolist() for p in probes], pa.list_(pa.int32())),
