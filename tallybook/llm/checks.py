@@ -91,22 +91,25 @@ WITH docs AS (SELECT doc_id, COALESCE('s' || source, 'n') AS name,
       < ({cap} * a.source_size / a.w, a.name) AS full_first FROM weighed o) b GROUP BY a.name, a.total),
   aims AS (SELECT name, source_size, total, LEAST(CAST({cap} * source_size AS DOUBLE),
       (SELECT MAX(level) FROM levels WHERE level <= fills) * w) AS target FROM weighed),
+  -- Blocks are at most a quarter of the smallest target.
+  fine AS (SELECT GREATEST(1, LEAST({block}, CAST(FLOOR(COALESCE(MIN(target) FILTER (target > 0), 0) / 4) AS BIGINT))) AS block
+    FROM aims),
   quotients AS (SELECT name, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, name, k) AS place, total
-    FROM aims, UNNEST(range(1, CAST(ROUND(total / {block}) AS BIGINT) + 1)) AS u(k) WHERE target > 0),
-  quotas AS (SELECT name, COUNT(*) AS quota FROM quotients WHERE place <= ROUND(total / {block}) GROUP BY name),
-  cut AS (SELECT name, source_size, target, COALESCE(quota, 0) AS quota,
-      GREATEST(1, CAST(CEIL(source_size / {mixing.SHARD_WORDS}) AS BIGINT)) AS shards FROM aims LEFT JOIN quotas USING (name)),
-  dealt AS (SELECT d.*, c.source_size, c.target, c.quota, {number('mark')} % c.shards AS shard
+    FROM aims, fine, UNNEST(range(1, CAST(ROUND(total / block) AS BIGINT) + 1)) AS u(k) WHERE target > 0),
+  quotas AS (SELECT name, COUNT(*) AS quota FROM quotients, fine WHERE place <= ROUND(total / block) GROUP BY name),
+  cut AS (SELECT name, source_size, target, COALESCE(quota, 0) AS quota, block,
+      GREATEST(1, CAST(CEIL(source_size / {mixing.SHARD_WORDS}) AS BIGINT)) AS shards FROM aims LEFT JOIN quotas USING (name), fine),
+  dealt AS (SELECT d.*, c.source_size, c.target, c.quota, c.block, {number('mark')} % c.shards AS shard
     FROM docs d JOIN cut c USING (name)),
-  circles AS (SELECT name, shard, quota, CAST(SUM(size) AS BIGINT) AS circle FROM dealt GROUP BY name, shard, quota),
+  circles AS (SELECT name, shard, quota, block, CAST(SUM(size) AS BIGINT) AS circle FROM dealt GROUP BY name, shard, quota, block),
   shard_quotients AS (SELECT name, shard, quota, row_number() OVER (
       PARTITION BY name ORDER BY CAST(circle AS DOUBLE) / (2 * k - 1) DESC, shard, k) AS place
     FROM circles, UNNEST(range(1, quota + 1)) AS u(k) WHERE circle > 0),
   shard_quotas AS (SELECT name, shard, COUNT(*) AS blocks FROM shard_quotients WHERE place <= quota GROUP BY name, shard),
   shards AS (SELECT name, shard, circle,
-      LEAST(COALESCE(blocks, 0), {cap} * circle // {block}) * {block} AS words,
+      LEAST(COALESCE(blocks, 0) * block, {cap} * circle) AS words,
       {number(f"md5('{seed}:' || name || ':' || shard)")}
-        % GREATEST(1, CAST(CEIL(circle / {block}) AS BIGINT)) * {block} AS start
+        % GREATEST(1, CAST(CEIL(circle / block) AS BIGINT)) * block AS start
     FROM circles LEFT JOIN shard_quotas USING (name, shard)),
   placed AS (SELECT d.*, circle, words, start, CASE WHEN circle > 0 THEN words // circle ELSE 0 END AS laps,
       SUM(size) OVER (PARTITION BY name, shard ORDER BY mark, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) AS c1

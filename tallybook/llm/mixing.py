@@ -1,12 +1,14 @@
 """Mixing sources to target weights by Sainte-Lague apportionment, in DataFrame operations only.
 
 Sources get targets: the total size shared by weight, but at most ``cap`` times a source's own size, the excess shared
-again by weight. Targets become whole blocks of ``BLOCK_WORDS`` words, given to sources by the highest quotients
-target / (2k - 1); each source's blocks go to its shards the same way. A shard orders its documents by a seeded mark
+again by weight. Targets become whole blocks of up to ``BLOCK_WORDS`` words (fewer where a source's target is below four such
+blocks), given to sources by the highest quotients target / (2k - 1); each source's blocks go to its shards the same way. Where
+the cap on a shard cuts its last block, the part of it below the cap is taken. A shard orders its documents by a seeded mark
 and lays their words on a circle; its quota of blocks is taken in a row from a seeded block on, around the circle as
 often as needed.
 
-A shard holds about ``SHARD_WORDS`` words of one source, so a hot source spreads over many. The only
+A shard holds about ``SHARD_WORDS`` words of one source, so a hot source spreads over many. Documents without words take no part in
+any order. The only
 windows over all rows of something are over sources, and over the shards of a source (one narrow row each).
 """
 
@@ -85,30 +87,32 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP)
 def _placed(
     docs: DataFrame, key: str, source: str, text: str, seed: str, weights: Sequence[int], cap: int,
     block_words: int, shard_words: int, stage: Stage, *more: Column,
-) -> DataFrame:
-    """Every row with its place ``c0``..``c1`` on its shard's circle and the stretch taken from the circle."""
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with their place ``c0``..``c1`` on their shard's circle and the stretch taken from it, and rows without words."""
     sized = stage.table(_sized(docs, key, source, text, seed), "sizes")
     sources = targets(sized.groupBy("name").agg(F.sum("size").alias("source_size")), weights, cap)
-    sources = sources.withColumn("blocks", F.round(F.col("total") / block_words).cast("long"))
+    least = F.min(F.when(F.col("target") > 0, F.col("target"))).over(W.partitionBy())
+    block = F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(F.coalesce(least, F.lit(0)) / 4))).cast("long")
+    sources = sources.withColumn("block", block).withColumn("blocks", F.round(F.col("total") / F.col("block")).cast("long"))
     sources = apportion(sources, [], "name", "target", "blocks", "quota").withColumn(
         "shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long"))
-    sources = stage.table(sources.select("name", "source_size", "target", "quota", "shards"), "sources")
+    sources = stage.table(sources.select("name", "source_size", "target", "block", "quota", "shards"), "sources")
 
     def with_source(rows):
         return lookup_join(rows, sources, "name", "inner", probe=sized).withColumn(
             "shard", F.pmod(_number(F.col("mark")), F.col("shards")))
 
     # A row for each shard, and beside it what its source has.
-    shards = with_source(sized).groupBy("name", "shard", "quota").agg(F.sum("size").alias("circle"))
+    shards = with_source(sized).groupBy("name", "shard", "quota", "block").agg(F.sum("size").alias("circle"))
     shards = apportion(shards, ["name"], "shard", "circle", "quota", "blocks")
-    blocks = F.least("blocks", F.floor(cap * F.col("circle") / block_words).cast("long"))
+    words, start = F.least(F.col("blocks") * F.col("block"), cap * F.col("circle")), F.ceil(F.col("circle") / F.col("block"))
     first = _number(F.md5(F.concat_ws(":", F.lit(seed), "name", F.col("shard").cast("string"))))
     shards = shards.select(
-        "name", "shard", "circle", (blocks * block_words).alias("words"),
-        (F.pmod(first, F.greatest(F.lit(1), F.ceil(F.col("circle") / block_words)).cast("long")) * block_words).alias("start"))
+        "name", "shard", "circle", words.alias("words"),
+        (F.pmod(first, F.greatest(F.lit(1), start).cast("long")) * F.col("block")).alias("start"))
     shards = stage.table(shards, "shards")
 
-    rows = with_source(_sized(docs, key, source, text, seed, *more)) if more else with_source(sized)
+    rows = (with_source(_sized(docs, key, source, text, seed, *more)) if more else with_source(sized)).filter("size > 0")
     order = W.partitionBy("name", "shard").orderBy("mark", "doc_id").rowsBetween(W.unboundedPreceding, W.currentRow)
     rows = rows.withColumn("c1", F.sum("size").over(order)).withColumn("c0", F.col("c1") - F.col("size"))
     whole = F.when(F.col("circle") > 0, F.floor(F.col("words") / F.col("circle")).cast("long")).otherwise(0)
@@ -116,7 +120,7 @@ def _placed(
     stop = F.col("start") + F.col("words") - F.col("laps") * F.col("circle")
     cuts = {"a0": F.greatest("c0", "start"), "a1": F.least(F.col("c1"), stop),
             "b0": F.col("c0"), "b1": F.least(F.col("c1"), stop - F.col("circle"))}
-    return rows.withColumns(cuts)
+    return rows.withColumns(cuts), with_source(sized.filter("size = 0"))
 
 
 def mix(
@@ -131,10 +135,11 @@ def mix(
     words. Sources of no words have target 0. No rows give no rows. Other columns are not carried, so names cannot clash.
     """
     stage = stage or Stage(docs.sparkSession)
-    rows = _placed(docs, key, source, text, seed, weights, cap, block_words, shard_words, stage)
+    rows, empty = _placed(docs, key, source, text, seed, weights, cap, block_words, shard_words, stage)
     cut = F.greatest(F.lit(0), F.col("a1") - F.col("a0")) + F.greatest(F.lit(0), F.col("b1") - F.col("b0"))
     taken = F.col("laps") * F.col("size") + cut
-    return rows.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    names = ["doc_id", "size", "source_size", "target"]
+    return rows.select(*names, taken.cast("long").alias("taken")).unionAll(empty.select(*names, F.lit(0).cast("long")))
 
 
 def mixed(
@@ -143,21 +148,23 @@ def mixed(
 ) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row for each time a text is taken.
 
-    A text cut by the end of a stretch keeps the words taken, joined by single blanks, and its new ``length``.
+    A text cut by the end of a stretch keeps the words taken, joined by single blanks, and its new ``length``. Null and empty texts
+    give no row, nor does an empty table; nulls elsewhere stay. Repeated rows are taken like others, ties of marks go by id; texts
+    of any length are cut by words. Columns may have any names.
     """
     stage = stage or Stage(docs.sparkSession)
-    rows = _placed(docs, key, source, text, SEED, WEIGHTS, CAP, BLOCK_WORDS, SHARD_WORDS, stage,
-                   F.struct(*docs.columns).alias("row"))
+    rows, _ = _placed(docs, key, source, text, SEED, WEIGHTS, CAP, BLOCK_WORDS, SHARD_WORDS, stage,
+                      F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     pieces = F.concat(
         F.array_repeat(F.struct(F.lit(0).cast("long").alias("lo"), F.col("size").alias("hi")), F.col("laps").cast("int")),
         F.array(*[F.struct((F.col(f"{c}0") - F.col("c0")).alias("lo"), (F.col(f"{c}1") - F.col("c0")).alias("hi"))
                   for c in "ab"]))
     rows = rows.withColumn("piece", F.explode(F.filter(pieces, lambda p: p["hi"] > p["lo"])))
     cut = (F.col("piece.hi") - F.col("piece.lo")) < F.col("size")
-    words = F.regexp_extract_all(F.col(f"row.{text}"), F.lit(WORD), F.lit(0))
+    words = F.regexp_extract_all(F.col("row").getField(text), F.lit(WORD), F.lit(0))
     part = F.array_join(F.slice(words, (F.col("piece.lo") + 1).cast("int"), (F.col("piece.hi") - F.col("piece.lo")).cast("int")), " ")
-    rows = rows.withColumn("piece_text", F.when(cut, part).otherwise(F.col(f"row.{text}")))
+    rows = rows.withColumn("piece_text", F.when(cut, part).otherwise(F.col("row").getField(text)))
     kinds = dict(docs.dtypes)
     replaced = {text: F.col("piece_text"), length: F.when(cut, F.length("piece_text").cast(kinds.get(length, "long"))).otherwise(
-        F.col(f"row.{length}")) if length in kinds else None}
+        F.col("row").getField(length)) if length in kinds else None}
     return rows.select(*[(replaced[c] if c in replaced else F.col("row").getField(c)).alias(c) for c in docs.columns])
