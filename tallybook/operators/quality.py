@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from decimal import ROUND_HALF_UP, Decimal
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybook.functions.coerce import col, is_blank, starts_with_c, to_moment, to_number
 from tallybook.functions.money import ratio
 from tallybook.schemas import BROKEN_RECORD, MAX_PRICE, MAX_QUANTITY, RAW_COLUMNS, REJECT_COLUMNS, SOURCE_COLUMNS
 
-REASON = "rejection_reason"
+REASON, _REJECTED = "rejection_reason", "_rejected"
 
 # Reason codes in order of precedence.
 REASONS = [
@@ -87,6 +91,44 @@ def summary_of(gated: DataFrame, batch_id: str) -> DataFrame:
     )
 
 
+class Gated(NamedTuple):
+    """Gated lines as stored, clean ones and rejected ones apart, and the counts taken while they were written."""
+
+    lines: DataFrame
+    totals: dict[str, int]
+
+    @property
+    def clean(self) -> DataFrame:
+        kept = [c for c in self.lines.columns if c in RAW_COLUMNS or c in SOURCE_COLUMNS]
+        return self.lines.filter(~col(_REJECTED)).select(*kept)
+
+    def rejected(self, batch_id: Column | str, logged_at: Column) -> DataFrame:
+        return rejected_of(self.lines.filter(col(_REJECTED)).drop(_REJECTED), batch_id, logged_at)
+
+    @property
+    def pass_rate_pct(self) -> Decimal:
+        total, valid = self.totals["total_records"], self.totals["valid_records"]
+        share = Decimal(valid * 100) / total if total else Decimal(0)
+        return share.quantize(Decimal("0.01"), ROUND_HALF_UP)
+
+
+def gate_once(raw: DataFrame, path: str) -> Gated:
+    """Gate a source in one pass: its lines are stored below ``path`` in two folders and counted by reason on the way.
+
+    The counts are observed in the tasks that write, so a task that runs again counts once.
+    """
+    seen, found = Observation(), reasons_of(raw)
+    valid = F.count_if(col(REASON).isNull())
+    gated = gate(raw).observe(
+        seen, F.count(F.lit(1)).alias("total_records"), valid.alias("valid_records"),
+        *[F.count_if(col(REASON) == r).alias(r.lower()) for r in found])
+    gated.withColumn(_REJECTED, col(REASON).isNotNull()).write.partitionBy(_REJECTED).parquet(path)
+    schema = T.StructType([*gated.schema.fields, T.StructField(_REJECTED, T.BooleanType())])
+    totals = seen.get
+    totals["rejected_records"] = totals["total_records"] - totals["valid_records"]
+    return Gated(raw.sparkSession.read.schema(schema).parquet(path), totals)
+
+
 def validate_batch(raw: DataFrame, batch_id: str, logged_at: Column | None = None):
     """(clean, rejected, summary) of a batch; three lazy plans over the same scan."""
     logged_at = F.current_timestamp().cast("timestamp_ntz") if logged_at is None else logged_at

@@ -57,20 +57,21 @@ def run_full(
 ) -> dict:
     """Gate, clean, model and load one complete extract; returns counts and pass rate.
 
-    ``raw`` is stored data; a row limit makes a trial run on a stored copy of that many rows.
+    The source is read once: its lines are gated, counted and stored, clean and rejected ones apart. A row limit makes a trial run.
     """
     started = time.time()
-    wh = Warehouse(spark, limit_rows(raw, limit), master, FULL_BATCH, stage, raw_is_stored=not limit)
-    wh.raw
-    with ThreadPoolExecutor(2) as pool:  # neither needs the tables
-        summary = pool.submit(lambda: quality.summary_of(wh.gated, FULL_BATCH).first())
+    stage = stage or Stage(spark)
+    gated = quality.gate_once(limit_rows(raw, limit), f"{stage.root}/gated-{versions.new_load()}")
+    wh = Warehouse(spark, raw, master, FULL_BATCH, stage, raw_is_stored=True, gated=gated)
+    with ThreadPoolExecutor(1) as pool:
         rejected = wh.rejected()
         held = pool.submit(writers.replace_partitions, rejected, f"{root}/quarantine", "batch_id", [FULL_BATCH])
         wh.build()
-        totals, _ = summary.result(), held.result()
+        held.result()
     quarantined = spark.read.schema(rejected.schema).parquet(f"{root}/quarantine").filter(F.col("batch_id") == FULL_BATCH)
     _log_rejects(quarantined, root, [FULL_BATCH])
     counts = _load(wh, root)
+    totals = gated.totals
     _log(spark, root, FULL_BATCH, source, started, totals["total_records"], totals["rejected_records"], counts)
     return {
         "status": "SUCCESS",
@@ -78,7 +79,7 @@ def run_full(
         "raw_records": totals["total_records"],
         "clean_records": totals["valid_records"],
         "rejected_records": totals["rejected_records"],
-        "pass_rate_pct": float(totals["pass_rate_pct"]),
+        "pass_rate_pct": float(gated.pass_rate_pct),
         "table_counts": counts,
     }
 

@@ -30,10 +30,11 @@ class Warehouse:
         batch_id: Column | str = FULL_BATCH,
         stage: Stage | None = None,
         raw_is_stored: bool = False,
+        gated: quality.Gated | None = None,
     ):
         self.spark, self.master, self.batch_id = spark, master, batch_id
         self.stage = stage or Stage(spark)
-        self._raw, self._raw_is_stored = raw, raw_is_stored
+        self._raw, self._raw_is_stored, self._gated_once = raw, raw_is_stored, gated
 
     @classmethod
     def from_lines(
@@ -65,11 +66,13 @@ class Warehouse:
 
     @cached_property
     def clean(self) -> DataFrame:
-        return quality.clean_lines(self.raw)
+        return self._gated_once.clean if self._gated_once else quality.clean_lines(self.raw)
 
     def rejected(self, batch_id: Column | str | None = None, logged_at: Column | None = None) -> DataFrame:
         batch = self.batch_id if batch_id is None else batch_id
         logged = F.current_timestamp().cast("timestamp_ntz") if logged_at is None else logged_at
+        if self._gated_once:
+            return self._gated_once.rejected(batch, logged)
         return quality.rejected_lines(self.raw, batch, logged)
 
     @cached_property

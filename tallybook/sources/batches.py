@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.coerce import to_moment
 from tallybook.schemas import RAW_SCHEMA
-from tallybook.sources.readers import csv_reader, with_broken_ends
+from tallybook.sources.readers import read_csv
 from tallybook.sources.writers import write_csv
 
 
@@ -65,6 +65,5 @@ def read_monthly(
     spark: SparkSession, folder: str, batch_ids: list[str] | None = None, multi_line: bool = False
 ) -> DataFrame:
     """Exported batches; a list of ids prunes to their folders. Broken records are marked as in ``read_batch``."""
-    columns = [f.name for f in RAW_SCHEMA.fields]
-    df = with_broken_ends(csv_reader(spark, [*columns, "batch_id"], multi_line).csv(f"{folder}/batches"), columns[-1])
+    df = read_csv(spark, f"{folder}/batches", [f.name for f in RAW_SCHEMA.fields], multi_line, "batch_id")
     return df if batch_ids is None else df.filter(F.col("batch_id").isin(batch_ids))

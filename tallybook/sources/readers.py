@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,21 +22,27 @@ def require_columns(df: DataFrame) -> DataFrame:
     return df
 
 
-def csv_reader(spark: SparkSession, columns: list[str], multi_line: bool = False) -> DataFrameReader:
-    """Reader of delivered CSV: text columns, and the text of records that do not have as many values as there are columns.
+def read_csv(
+    spark: SparkSession, path: str, columns: list[str], multi_line: bool = False, partition: str | None = None
+) -> DataFrame:
+    """Delivered CSV with a header: text columns, the partition column if there is one, and the text of broken records.
 
-    A record is a line, so that files can be split; ``multi_line`` reads quoted line breaks, a file in one task.
+    A record is a line, so that files can be split. A line is broken if it has another number of values than there are columns, or
+    ends inside quotes (their number is odd). ``multi_line`` reads quoted line breaks, a file in one task.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, BROKEN_RECORD]])
-    reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multi_line)
-    # Values are only counted if none are skipped.
-    return reader.option("columnNameOfCorruptRecord", BROKEN_RECORD).option("columnPruning", False)
-
-
-def with_broken_ends(df: DataFrame, last: str) -> DataFrame:
-    """Also mark records that end inside a quoted value: the last one begins with a quote that nothing closes."""
-    open_end = F.col(last).startswith('"') & (F.regexp_count(last, F.lit('"')) % 2 == 1)
-    return df.withColumn(BROKEN_RECORD, F.coalesce(BROKEN_RECORD, F.when(open_end, F.col(last))))
+    options = {"escape": '"', "columnNameOfCorruptRecord": BROKEN_RECORD, "columnPruning": "false"}  # skipped values are not counted
+    if multi_line:
+        whole = T.StructType([*schema.fields, *([T.StructField(partition, T.StringType())] if partition else [])])
+        return spark.read.schema(whole).options(header=True, multiLine=True, **options).csv(path)
+    lines = spark.read.schema("value string" + (f", `{partition}` string" if partition else "")).text(path)
+    header = lines.filter(F.trim("value") != "").first()
+    lines = lines.filter((F.trim("value") != "") & (F.col("value") != (header["value"] if header else "")))
+    cut = F.when(F.regexp_count("value", F.lit('"')) % 2 == 1, F.col("value"))
+    parsed = lines.withColumn("_line", F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), options))
+    fields = [F.col(f"_line.{c}").alias(c) for c in columns]
+    broken = F.coalesce(F.col(f"_line.{BROKEN_RECORD}"), cut).alias(BROKEN_RECORD)
+    return parsed.select(*fields, broken, *([partition] if partition else []))
 
 
 def read_batch(spark: SparkSession, path: str, with_source: bool = False, multi_line: bool = False) -> DataFrame:
@@ -50,7 +56,7 @@ def read_batch(spark: SparkSession, path: str, with_source: bool = False, multi_
     if name.endswith((".csv", ".txt")):
         # The header decides the columns, so a file with columns in another order reads right.
         columns = spark.read.option("header", True).option("escape", '"').csv(path).columns
-        df = with_broken_ends(csv_reader(spark, columns, multi_line).csv(path), columns[-1])
+        df = read_csv(spark, path, columns, multi_line)
     elif name.endswith(".parquet") or "." not in name.rsplit("/", 1)[-1]:
         df = spark.read.parquet(path)
         if with_source:
