@@ -24,7 +24,10 @@ MARKERS = {
     "user": r"(?:user|human|customer|question|q|me|you)",
     "assistant": r"(?:assistant|ai|bot|agent|model|answer|a|gpt|chatbot)",
 }
-_FORM = r"^\s*(?:###\s*|\*\*|\[|<\|?|>\s*)?(%s)(?:\*\*|\]|\|?>)?\s*(?:[:>\]]|\*\*:?|$|\n)\s*"
+#: A marker needs a colon or bracket behind it, or a heading sign, bracket or stars before it: a word alone is text.
+_SIGNED = r"(?:###\s*|\*\*|\[|<\|?|>\s*)?(?:{0})(?:\*\*|\]|\|?>)?\s*(?:[:>\]]|\*\*:?)"
+_HEADED = r"(?:###\s*|\*\*|\[|<\|?)(?:{0})(?:\*\*|\]|\|?>)?\s*(?:$|\n)"
+_FORM = rf"(?i)^\s*(?:{_SIGNED}|{_HEADED})\s*"
 #: Prior counts of a role showing its own marker and another role's: a marker weighs more than any transition.
 OWN_MARKER, OTHER_MARKER = 1_000, 0.001
 #: Numbers of values of the features, in order: marker, lines, length, question, list.
@@ -40,7 +43,7 @@ class Model(NamedTuple):
 
 
 def _any_marker() -> str:
-    return "(?i)" + _FORM % "|".join(MARKERS.values())
+    return _FORM.format("|".join(MARKERS.values()))
 
 
 def features(text: str = "text") -> list[Column]:
@@ -48,7 +51,7 @@ def features(text: str = "text") -> list[Column]:
     content = F.coalesce(F.col(text), F.lit(""))
     marker = F.lit(0)
     for i, role in enumerate(ROLES):
-        marker = F.when(content.rlike("(?i)" + _FORM % MARKERS[role]), i + 1).otherwise(marker)
+        marker = F.when(content.rlike(_FORM.format(MARKERS[role])), i + 1).otherwise(marker)
     lines = F.least(F.size(F.split(content, "\n")), F.lit(SIZES[1])) - 1
     length = F.least(F.floor(F.log2(F.length(content) + 1)), F.lit(SIZES[2] - 1))
     question = content.rlike(r"\?\s*$").cast("int")
@@ -197,8 +200,12 @@ def roles(
 
 
 def render(role: Column, text: Column) -> Column:
-    """One turn: its role, its text without the speaker marker, and an end sign."""
+    """One turn: its role, its text without the speaker marker, and an end sign.
+
+    Signs of the form itself in a text are escaped (``<|`` becomes ``<\\|``), so that no text makes a turn of its own.
+    """
     content = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), _any_marker(), ""))
+    content = F.replace(content, F.lit("<|"), F.lit("<\\|"))
     return F.concat(F.lit("<|"), role, F.lit("|>\n"), content, F.lit("\n<|end|>"))
 
 
