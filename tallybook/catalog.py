@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +16,7 @@ from tallybook.functions.coerce import strip, title_case
 from tallybook.operators import cleaning, constraints, drift, evaluation, quality, split
 from tallybook.plans import dashboard, dims, etl, features, models, reports, scoring, upkeep
 from tallybook.plans.warehouse import Warehouse, run_sql
-from tallybook.schemas import FULL_BATCH, LINE_KEYS, SOURCE_COLUMNS, WAREHOUSE_TABLES, column_types
+from tallybook.schemas import BROKEN_RECORD, FULL_BATCH, LINE_KEYS, RAW_COLUMNS, SOURCE_COLUMNS, WAREHOUSE_TABLES, column_types
 from tallybook.sources import adapter, batches, readers, writers
 from tallybook.streaming import landing
 
@@ -132,6 +132,8 @@ class Workspace(Warehouse):
             sides.filter("side = 'current'").select((F.col("value") * factor).alias("value")))
 
 
+#: Rows of a trial run.
+TRIAL_ROWS = 500
 #: Largest component of the gradient that counts as zero; the fit stops by the change of its loss.
 GRADIENT_BOUND = 1e-4
 #: A batch of lines that came late; its id sorts behind those of the months.
@@ -225,6 +227,24 @@ def _staged(w: Workspace) -> DataFrame:
     return w.spark.read.parquet(f"{root}/staging")
 
 
+def _full_source(w: Workspace) -> DataFrame:
+    """The whole source as it is found: landed as Parquet and as CSV, read back by preference with its batch id."""
+    root = f"{w.stage.root}/full-source"
+    writers.land(w.raw, root)
+    lines, batch_id = readers.read_full(w.spark, root)
+    return lines.withColumn("batch_id", F.lit(batch_id))
+
+
+def _ingestion_log(w: Workspace) -> DataFrame:
+    """Two events, appended one after the other."""
+    root = f"{w.stage.root}/ingestion"
+    rows = w.raw.count()
+    for source in ("retail_raw", "retail_raw_again"):
+        writers.log_ingestion(w.spark, root, source, rows, RAW_COLUMNS, datetime.now())
+    log = w.spark.read.json(f"{root}/ingestion_log")
+    return log.withColumns({"columns": F.concat_ws(",", "columns"), "timestamp": F.col("timestamp").isNotNull()})
+
+
 def _landed_csv(w: Workspace) -> DataFrame:
     root = f"{w.stage.root}/landed"
     writers.land(w.raw, root)
@@ -283,6 +303,13 @@ def _replayed(w: Workspace) -> DataFrame:
     return found[0].unionAll(found[1])
 
 
+def _reloaded_agrees(w: Workspace) -> DataFrame:
+    """Whether the stored and reloaded model scores each customer as the fitted one."""
+    now, again = (m.predict(w.features).select("customer_id", F.struct("churn_prediction", "churn_probability").alias(n))
+                  for m, n in ((w.training[0], "now"), (w.reloaded_model, "again")))
+    return now.join(again, "customer_id").select("customer_id", (F.col("now") == F.col("again")).alias("same"))
+
+
 def _reloaded_scores(w: Workspace) -> DataFrame:
     accepted, _ = scoring.validate_scoring_input(w.features)
     return scoring.score_customers(w.reloaded_model, accepted)
@@ -290,7 +317,11 @@ def _reloaded_scores(w: Workspace) -> DataFrame:
 
 QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     # sources and batches
-    "extract_metadata": lambda w: readers.extract_metadata(w.raw, FULL_BATCH, "retail_raw"),
+    "extract_metadata": lambda w: readers.extract_metadata(w.raw, FULL_BATCH, "retail_raw").withColumn(
+        "extraction_timestamp", F.col("extraction_timestamp").isNotNull()),
+    "full_source_lines": _full_source,
+    "ingestion_log": _ingestion_log,
+    "trial_rows": lambda w: readers.limit_rows(w.raw, TRIAL_ROWS).agg(F.count("*").alias("lines")),
     "landing_text": lambda w: writers.landing_text(w.raw),
     "batch_partition_counts": lambda w: batches.batch_counts(w.raw),
     "batch_manifest": lambda w: batches.batch_manifest(w.raw),
@@ -320,7 +351,7 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     # sinks and loads, read back from what was written
     "staged_extract": _staged,
     "landed_csv_clean": _landed_csv,
-    "monthly_export": lambda w: batches.read_monthly(w.spark, w.months),
+    "monthly_export": lambda w: batches.read_monthly(w.spark, w.months).drop(BROKEN_RECORD),
     "quarantine_by_month": _quarantined,
     "loaded_row_counts": lambda w: reports.table_row_counts(
         {n: readers.read_table(w.spark, w.loaded, n) for n in WAREHOUSE_TABLES}),
@@ -395,6 +426,7 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "encoded_categories": lambda w: models.encoded_categories(w.trained),
     "logistic_optimality": _gradient,
     "tree_replay": _replayed,
+    "reloaded_model_agrees": _reloaded_agrees,
     "model_comparison": lambda w: w.training[1],
     "model_info": lambda w: models.model_info(w.spark, w.training[0]),
     "churn_scores": lambda w: w.churn_scores,

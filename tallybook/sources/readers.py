@@ -86,6 +86,7 @@ def extract_metadata(df: DataFrame, batch_id: str, source: str) -> DataFrame:
     return df.agg(F.count("*").alias("raw_row_count")).select(
         F.lit(batch_id).alias("batch_id"),
         F.lit(source.rstrip("/").rsplit("/", 1)[-1]).alias("source_file"),
+        F.current_timestamp().cast("timestamp_ntz").alias("extraction_timestamp"),
         "raw_row_count",
         F.lit(",".join(RAW_COLUMNS)).alias("raw_columns"),
         F.lit(len(RAW_COLUMNS)).alias("raw_column_count"),
