@@ -69,6 +69,7 @@ def market_tier(country: Column | str) -> Column:
     return _ladder([(name.isin(cs), tier) for tier, cs in REGION_COUNTRIES.values()], DEFAULT_REGION[1])
 
 
+# Thresholds and labels of the customer segments, in order of precedence.
 def rfm_segment(r: Column | str, f: Column | str, m: Column | str) -> Column:
     r, f, m = col(r), col(f), col(m)
     return _ladder(
@@ -104,6 +105,7 @@ def risk_advice(probability: Column | str) -> Column:
     return _ladder([(p >= floor, advice) for floor, _, advice in RISK_TIERS], LOW_RISK[1])
 
 
+# Thresholds and labels of the drift alerts.
 def drift_alert(psi: Column | str, p_value: Column | str) -> Column:
     psi, p = col(psi), col(p_value)
     return _ladder(

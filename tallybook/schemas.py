@@ -34,7 +34,7 @@ REJECT_COLUMNS = [
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
 
 
-# A trailing "!" marks a column declared not null.
+# Declared columns and types; a trailing "!" marks a column declared not null.
 TABLES: dict[str, dict[str, str]] = {
     "dim_customer": dict(
         customer_key="bigint!", customer_id="bigint", customer_code="string!", gender="string",
