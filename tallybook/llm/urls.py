@@ -128,7 +128,7 @@ def judge_by_join(rows: DataFrame, rules: DataFrame, default: str = DEFAULT) ->
     urls = rows.select("page_id", host.alias("host"), path.alias("path"))
     pairs = urls.select("host", "path").distinct()
     labels, segments = F.split("host", r"\."), F.split("path", "/")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, 100_000), "."))
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     folders = F.transform(F.sequence(F.lit(0), F.size(segments) - 1), lambda i: F.when(
         i > 0, F.concat(F.array_join(F.slice(segments, 1, i), "/"), F.lit("/"))).otherwise(""))
     wanted = pairs.withColumn("rule_host", F.explode(suffixes)).withColumn("folder", F.explode(folders))
