@@ -26,6 +26,13 @@ from tallybook.schemas import FULL_BATCH  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CORES = os.environ.get("BENCH_CPUS", "8")
+# What needs fitted models takes minutes of training; BENCH_TRAINING=1 times it as well.
+TRAINED = {
+    "encoded_categories", "logistic_optimality", "tree_replay", "reloaded_model_agrees", "model_comparison", "model_info",
+    "churn_scores", "churn_score_totals", "reloaded_model_scores",
+}
+
+
 def session() -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{CORES}]")
