@@ -1,9 +1,11 @@
 """Models fitted in a session in which rows were observed, as loads do."""
 
+import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
-from tallybook import catalog
+from tallybook import catalog, session
 from tallybook.plans import models
+from tallybook.staging import Stage
 
 
 def test_models_score_after_an_observation(spark, tiny):
@@ -15,3 +17,42 @@ def test_models_score_after_an_observation(spark, tiny):
     assert made.comparison.count() == len(made.models) == 3
     for model in made.models.values():
         assert model.predict(features).filter("churn_probability between 0 and 1").count() == features.count()
+
+
+@pytest.fixture(scope="module")
+def mounted(spark, tmp_path_factory):
+    """A store that only a setting made in the running session leads to."""
+    settings = {
+        "fs.viewfs.mounttable.observed.link./in": f"file://{tmp_path_factory.mktemp('store')}",
+        "fs.viewfs.impl.disable.cache": "true",
+        "spark.sql.files.maxPartitionBytes": "64m",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield "viewfs://observed/in"
+    for key in settings:
+        spark.conf.unset(key)
+
+
+@pytest.fixture(scope="module")
+def observed(spark, tiny, mounted):
+    """A workspace whose models are fitted after an observation, with its tables in that store."""
+    seen = Observation()
+    spark.range(10).observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get == {"n": 10}
+    w = catalog.Workspace(spark, tiny)
+    w.stage = Stage(spark, f"{mounted}/tables")
+    return w
+
+
+def test_settings_go_along(spark, mounted):
+    own = session.apart(spark)
+    assert own.conf.get("spark.sql.files.maxPartitionBytes") == "64m"
+    own.conf.set("spark.sql.files.maxPartitionBytes", "32m")
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "64m"
+
+
+def test_logistic_optimality(observed):
+    found = catalog.QUERIES["logistic_optimality"](observed).collect()
+    names = next(iter(observed.trained.models.values())).feature_names
+    assert sorted(r["slot"] for r in found) == sorted([*names, "intercept"]) and all(r["optimal"] for r in found)
