@@ -56,3 +56,8 @@ def test_logistic_optimality(observed):
     found = catalog.QUERIES["logistic_optimality"](observed).collect()
     names = next(iter(observed.trained.models.values())).feature_names
     assert sorted(r["slot"] for r in found) == sorted([*names, "intercept"]) and all(r["optimal"] for r in found)
+
+
+def test_tree_replay(observed):
+    found = catalog.QUERIES["tree_replay"](observed).collect()
+    assert len(found) == 2 * observed.features.count() and all(r["same"] for r in found)
