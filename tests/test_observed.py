@@ -61,3 +61,8 @@ def test_logistic_optimality(observed):
 def test_tree_replay(observed):
     found = catalog.QUERIES["tree_replay"](observed).collect()
     assert len(found) == 2 * observed.features.count() and all(r["same"] for r in found)
+
+
+def test_reloaded_model_agrees(observed):
+    found = catalog.QUERIES["reloaded_model_agrees"](observed).collect()
+    assert len(found) == observed.features.count() and all(r["same"] for r in found)
