@@ -66,3 +66,10 @@ def test_tree_replay(observed):
 def test_reloaded_model_agrees(observed):
     found = catalog.QUERIES["reloaded_model_agrees"](observed).collect()
     assert len(found) == observed.features.count() and all(r["same"] for r in found)
+
+
+def test_model_comparison(observed):
+    found = catalog.QUERIES["model_comparison"](observed).collect()
+    assert [r["model"] for r in found] == list(models.PARAMS)
+    best = max(found, key=lambda r: models.AUC_WEIGHT * r["roc_auc"] + models.F1_WEIGHT * r["f1_score"])
+    assert [r["model"] for r in found if r["is_winner"]] == [best["model"]]
