@@ -73,3 +73,10 @@ def test_model_comparison(observed):
     assert [r["model"] for r in found] == list(models.PARAMS)
     best = max(found, key=lambda r: models.AUC_WEIGHT * r["roc_auc"] + models.F1_WEIGHT * r["f1_score"])
     assert [r["model"] for r in found if r["is_winner"]] == [best["model"]]
+
+
+def test_model_info(observed):
+    (found,) = catalog.QUERIES["model_info"](observed).collect()
+    best = observed.trained.comparison.filter("is_winner").first()
+    assert found["winning_model"] == best["model"] and [found[m] for m in models.METRICS] == [best[m] for m in models.METRICS]
+    assert found["feature_count"] == len(found["feature_names"]) == best["feature_count"]
