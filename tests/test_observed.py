@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from tallybook import catalog, session
-from tallybook.plans import models
+from tallybook.plans import models, scoring
+from tallybook.sources import adapter
 from tallybook.staging import Stage
 
 
@@ -80,3 +81,13 @@ def test_model_info(observed):
     best = observed.trained.comparison.filter("is_winner").first()
     assert found["winning_model"] == best["model"] and [found[m] for m in models.METRICS] == [best[m] for m in models.METRICS]
     assert found["feature_count"] == len(found["feature_names"]) == best["feature_count"]
+
+
+def test_churn_scores(observed):
+    found = {r["customer_id"]: r for r in catalog.QUERIES["churn_scores"](observed).collect()}
+    accepted, _ = scoring.validate_scoring_input(adapter.scoring_requests(observed.features))
+    assert len(found) == accepted.count() > 0
+    for r in observed.trained.winner.predict(accepted).collect():
+        mine = found[r["customer_id"]]
+        assert mine["churn_prediction"] == r["churn_prediction"]
+        assert mine["churn_probability"] == pytest.approx(r["churn_probability"], abs=5.1e-5)
