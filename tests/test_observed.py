@@ -91,3 +91,9 @@ def test_churn_scores(observed):
         mine = found[r["customer_id"]]
         assert mine["churn_prediction"] == r["churn_prediction"]
         assert mine["churn_probability"] == pytest.approx(r["churn_probability"], abs=5.1e-5)
+
+
+def test_churn_score_totals(observed):
+    (found,) = catalog.QUERIES["churn_score_totals"](observed).collect()
+    levels = [r["risk_level"] for r in catalog.QUERIES["churn_scores"](observed).collect()]
+    assert found["total_processed"] == len(levels) and found["high_risk_count"] == levels.count("High Risk")
