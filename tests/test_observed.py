@@ -97,3 +97,27 @@ def test_churn_score_totals(observed):
     (found,) = catalog.QUERIES["churn_score_totals"](observed).collect()
     levels = [r["risk_level"] for r in catalog.QUERIES["churn_scores"](observed).collect()]
     assert found["total_processed"] == len(levels) and found["high_risk_count"] == levels.count("High Risk")
+
+
+@pytest.fixture(scope="module")
+def reopened(spark, tiny):
+    """A workspace of a session that holds a setting of the context, as a later ``getOrCreate`` leaves it there."""
+    own, rejects = spark.newSession(), "spark.sql.legacy.setCommandRejectsSparkCoreConfs"
+    own.conf.set(rejects, "false")
+    own.conf.set("spark.task.maxFailures", "2")
+    own.conf.unset(rejects)
+    return catalog.Workspace(own, tiny)
+
+
+def test_settings_of_the_context_stay_behind(reopened):
+    assert reopened.spark.conf.get("spark.task.maxFailures") == "2"
+    reopened.spark.conf.set("spark.sql.files.maxPartitionBytes", "96m")
+    own = session.apart(reopened.spark)
+    assert own.conf.get("spark.sql.files.maxPartitionBytes") == "96m" and own.conf.get("spark.task.maxFailures", None) != "2"
+
+
+def test_tree_replay_asked_twice(reopened):
+    """Both answers hold, also the one that is read after the query was asked again."""
+    for found in [catalog.QUERIES["tree_replay"](reopened) for _ in range(2)]:
+        found = found.collect()
+        assert len(found) == 2 * reopened.features.count() and all(r["same"] for r in found)
