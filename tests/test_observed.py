@@ -121,3 +121,17 @@ def test_tree_replay_asked_twice(reopened):
     for found in [catalog.QUERIES["tree_replay"](reopened) for _ in range(2)]:
         found = found.collect()
         assert len(found) == 2 * reopened.features.count() and all(r["same"] for r in found)
+
+
+#: Rows that queries on the models give for so many customers and accepted requests.
+ROWS = {
+    "reloaded_model_agrees": lambda customers, accepted: customers,
+}
+
+
+@pytest.mark.parametrize("name", ROWS)
+def test_after_a_setting_of_the_context(reopened, name):
+    accepted, _ = scoring.validate_scoring_input(adapter.scoring_requests(reopened.features))
+    found = catalog.QUERIES[name](reopened).collect()
+    assert len(found) == ROWS[name](reopened.features.count(), accepted.count())
+    assert all(r["same"] for r in found if "same" in r)
