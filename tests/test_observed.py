@@ -126,6 +126,7 @@ def test_tree_replay_asked_twice(reopened):
 #: Rows that queries on the models give for so many customers and accepted requests.
 ROWS = {
     "reloaded_model_agrees": lambda customers, accepted: customers,
+    "model_comparison": lambda customers, accepted: len(models.PARAMS),
 }
 
 
