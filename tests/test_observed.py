@@ -127,6 +127,7 @@ def test_tree_replay_asked_twice(reopened):
 ROWS = {
     "reloaded_model_agrees": lambda customers, accepted: customers,
     "model_comparison": lambda customers, accepted: len(models.PARAMS),
+    "model_info": lambda customers, accepted: 1,
 }
 
 
