@@ -128,6 +128,7 @@ ROWS = {
     "reloaded_model_agrees": lambda customers, accepted: customers,
     "model_comparison": lambda customers, accepted: len(models.PARAMS),
     "model_info": lambda customers, accepted: 1,
+    "churn_scores": lambda customers, accepted: accepted,
 }
 
 
