@@ -129,6 +129,7 @@ ROWS = {
     "model_comparison": lambda customers, accepted: len(models.PARAMS),
     "model_info": lambda customers, accepted: 1,
     "churn_scores": lambda customers, accepted: accepted,
+    "churn_score_totals": lambda customers, accepted: 1,
 }
 
 
@@ -138,3 +139,4 @@ def test_after_a_setting_of_the_context(reopened, name):
     found = catalog.QUERIES[name](reopened).collect()
     assert len(found) == ROWS[name](reopened.features.count(), accepted.count())
     assert all(r["same"] for r in found if "same" in r)
+    assert all(r["total_processed"] == accepted.count() for r in found if "total_processed" in r)
