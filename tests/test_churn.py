@@ -1,6 +1,7 @@
 """Drift, splits, evaluation, preprocessing, scoring."""
 
 import itertools
+import json
 
 import numpy as np
 import pandas as pd
@@ -153,3 +154,11 @@ def test_scoring_contract(spark):
     assert {r["customer_id"]: r["rejection_reason"] for r in rejected.collect()} == {
         "b": "MISSING_RECENCY_DAYS", "c": "OUT_OF_RANGE_FREQUENCY_ORDERS", "d": "OUT_OF_RANGE_CANCELLATION_RATE",
         "e": "OUT_OF_RANGE_RECENCY_DAYS"}
+
+
+def test_parameters_of_the_models(spark, tiny):
+    found = {r["model"]: json.loads(r["params"]) for r in catalog.workspace(spark, tiny).training[1].collect()}
+    assert found == {
+        "Logistic_Regression": {"C": 1.0, "penalty": "l2", "solver": "lbfgs", "max_iter": 1000},
+        "Random_Forest": {"n_estimators": 100, "max_depth": 10, "criterion": "gini", "random_state": 42},
+        "Gradient_Boosting": {"max_iter": 100, "max_depth": 5, "learning_rate": 0.05, "random_state": 42}}
