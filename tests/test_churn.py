@@ -162,3 +162,11 @@ def test_parameters_of_the_models(spark, tiny):
         "Logistic_Regression": {"C": 1.0, "penalty": "l2", "solver": "lbfgs", "max_iter": 1000},
         "Random_Forest": {"n_estimators": 100, "max_depth": 10, "criterion": "gini", "random_state": 42},
         "Gradient_Boosting": {"max_iter": 100, "max_depth": 5, "learning_rate": 0.05, "random_state": 42}}
+
+
+def test_registration_of_the_winner(spark):
+    metrics = {m: 0.5 for m in models.METRICS}
+    row = models.model_info(spark, models.ChurnModel("Random_Forest", None, None, ["a", "b"], metrics)).first().asDict()
+    assert (row.pop("registered_name"), row.pop("version"), row.pop("winning_model")) == (
+        "EcommerceChurnPredictor", "1.0", "Random_Forest")
+    assert row == {**metrics, "feature_count": 2, "feature_names": ["a", "b"]}
