@@ -88,6 +88,14 @@ def test_the_setting_comes_back(spark):
     spark.conf.unset(staging._FREEING)
 
 
+def test_a_full_load_leaves_nothing_on_the_way(spark, raw, tmp_path):
+    stage = Stage(spark, f"{tmp_path}/stage")
+    kept = stage.table(spark.range(3), "kept")
+    etl.run_full(spark, raw, None, f"{tmp_path}/root", stage=stage)
+    assert {p.relative_to(stage.root).parts[0] for p in Path(stage.root).rglob("*.parquet")} == {"000-kept"}
+    assert kept.count() == 3  # what was there before stays
+
+
 def test_loads_of_batches_leave_nothing_on_the_way(spark, raw, tmp_path):
     stage, ids = Stage(spark, f"{tmp_path}/stage"), ["batch_2011_01", "batch_2011_02", "batch_2011_03"]
     stored = raw.transform(batches.monthly)
@@ -97,6 +105,18 @@ def test_loads_of_batches_leave_nothing_on_the_way(spark, raw, tmp_path):
     assert len(readers.read_table(spark, f"{tmp_path}/root", "fact_sales").select("batch_id").distinct().collect()) == 3
 
 
+def test_a_full_load_in_turns(spark, raw, tmp_path, short_turns, monkeypatch):
+    whole = etl.run_full(spark, raw, None, f"{tmp_path}/a")
+    seen, lay_out = [], ordering.lay_out
+    monkeypatch.setattr("tallybook.plans.warehouse.lay_out", lambda df, *a, **k: seen.append(len(df)) or lay_out(df, *a, **k))
+    short_turns()
+    made = etl.run_full(spark, raw, None, f"{tmp_path}/b")
+    assert seen[0] > 4 and made["table_counts"] == whole["table_counts"]
+    for name in WAREHOUSE_TABLES:
+        a, b = (readers.read_table(spark, f"{tmp_path}/{r}", name) for r in "ab")
+        assert rows(a) == rows(b), name
+
+
 def test_batches_in_turns(spark, raw, tmp_path, short_turns):
     """Months of which one is hot, a copy in a later batch on the same day, and one that was rejected whole."""
     def story(root):
